@@ -1,0 +1,58 @@
+"""Compare a registered query with its SQL on DuckDB: names, types and rows."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
+
+KINDS = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "float": "FLOAT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        if Path(f"{sf_dir}/{name}.parquet").exists():
+            con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _cell(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.9g}")
+    return value
+
+
+def compare(df, con, sql):
+    """Empty when equal, else a description of the first difference."""
+    relation = con.sql(sql)
+    spark_types = {f.name: KINDS.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    duck_types = dict(zip(relation.columns, map(str, relation.types)))
+    if spark_types != duck_types:
+        return f"types {sorted(spark_types.items())} <> {sorted(duck_types.items())}"
+    names = sorted(spark_types)
+    left = Counter(tuple(_cell(row[n]) for n in names) for row in df.collect())
+    order = [relation.columns.index(n) for n in names]
+    right = Counter(tuple(_cell(row[i]) for i in order) for row in relation.fetchall())
+    if left != right:
+        return (
+            f"rows {sum(left.values())} <> {sum(right.values())},"
+            f" only spark {list((left - right).items())[:2]}, only sql {list((right - left).items())[:2]}"
+        )
+    return ""
