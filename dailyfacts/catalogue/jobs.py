@@ -16,6 +16,7 @@ from dailyfacts.catalogue.raw import (
 )
 from dailyfacts.catalogue.registry import query, table
 from dailyfacts.catalogue.tables import scratch_database
+from dailyfacts.operators.joins import only_months_of
 from dailyfacts.plans import cases, flights
 from dailyfacts.plans.daily import (
     country_days,
@@ -83,6 +84,5 @@ def stored_departures(spark, sf_dir):
     store_departures(read_model(spark, fact, FLIGHTS), counts)
     refresh_departures(spark, fact, counts, since=date(2001, 6, 1))
     days = country_days(read_model(spark, f"{path}/{cases.OUTPUT}", CASES), COUNTRY)
-    return days_with_departures(
-        days, spark.read.parquet(counts), month=("_year", "_month")
-    )
+    stored = only_months_of(spark.read.parquet(counts), "_year", "_month", days, "daterep")
+    return days_with_departures(days, stored)

@@ -1,6 +1,6 @@
 """Joins: fact to fact by day, fact to lookup by code.
 
-No side is broadcast by hand unless its size was measured. Otherwise the planner
+No side is broadcast by hand unless its size is bounded or was measured. Otherwise the planner
 and adaptive execution choose: a broadcast when the measured side is small, else a
 sort-merge join whose oversized partitions (a day or code with a large share of the
 rows) are split over several tasks.
@@ -18,26 +18,23 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
-def join_on_day(
-    left: DataFrame,
-    right: DataFrame,
-    left_day: str,
-    right_day: str,
-    *,
-    right_month: tuple[str, str] | None = None,
+def join_on_day(left: DataFrame, right: DataFrame, left_day: str, right_day: str) -> DataFrame:
+    """Inner join on two date columns; both stay in the output, null days never match."""
+    return left.join(right, F.col(left_day) == F.col(right_day), "inner")
+
+
+def only_months_of(
+    fact: DataFrame, year: str, month: str, days: DataFrame, day: str
 ) -> DataFrame:
-    """Inner join on two date columns; both stay in the output, null days never match.
+    """Rows of ``fact`` in the months that ``days`` has at least one day of.
 
-    ``right_month`` names the right side's year and month columns. They follow from
-    the day, so they add nothing to the result, but when they are partition columns
-    the join lets Spark skip the months that the left side does not have.
+    Where ``fact`` is partitioned by the two columns the other months are not read at
+    all. The months are the one thing broadcast without measuring: dates have years
+    1 to 9999, so there are never more than 120,000 of them.
     """
-    day = F.col(left_day)
-    matches = [day == F.col(right_day)]
-    if right_month:
-        year, month = right_month
-        matches += [F.year(day) == F.col(year), F.month(day) == F.col(month)]
-    return left.join(right, reduce(operator.and_, matches), "inner")
+    months = days.select(F.year(day).alias("_y"), F.month(day).alias("_m")).distinct()
+    same = (fact[year] == months["_y"]) & (fact[month] == months["_m"])
+    return fact.join(F.broadcast(months), same, "left_semi")
 
 
 def value_bytes(df: DataFrame) -> int:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dailyfacts.operators.aggregates import distinct_rows, grouped_count
 from dailyfacts.operators.columns import add_month_partitions
-from dailyfacts.operators.joins import join_on_day
+from dailyfacts.operators.joins import join_on_day, only_months_of
 from dailyfacts.operators.writes import write_by_month
 from dailyfacts.schemas import FLIGHTS
 from dailyfacts.sources import read_model
@@ -28,20 +28,18 @@ def country_days(cases: DataFrame, country: str) -> DataFrame:
     )
 
 
-def departures(flights: DataFrame, month: tuple[str, ...] = ()) -> DataFrame:
+def departures(flights: DataFrame, *month: str) -> DataFrame:
     """Flights per origin and day, cancelled ones included."""
     return grouped_count(flights, ["origin", "fl_date", *month], "origin")
 
 
-def days_with_departures(
-    days: DataFrame, counts: DataFrame, *, month: tuple[str, str] | None = None
-) -> DataFrame:
+def days_with_departures(days: DataFrame, counts: DataFrame) -> DataFrame:
     """Join on the day, newest day first.
 
     The day alone would order the result but put a busy day on one task; the other
     columns are added so that the sort can split it. They are unique together.
     """
-    joined = join_on_day(days, counts, "daterep", "fl_date", right_month=month)
+    joined = join_on_day(days, counts, "daterep", "fl_date")
     return joined.select(*COLUMNS).orderBy(
         F.col("daterep").desc(), "origin", "country", "cases", "deaths"
     )
@@ -57,16 +55,17 @@ def daily_impact(
     """How many flights left each origin on the days with reported cases.
 
     ``month`` names the year and month columns of ``flights`` when it is partitioned
-    by them and they follow from ``fl_date``; months without cases are then skipped.
+    by them and they follow from ``fl_date``; months without cases are then not read.
     """
-    return days_with_departures(
-        country_days(cases, country), departures(flights, month or ()), month=month
-    )
+    days = country_days(cases, country)
+    if month:
+        flights = only_months_of(flights, *month, days, "daterep")
+    return days_with_departures(days, departures(flights))
 
 
 def store_departures(flights: DataFrame, path: str, *, replace: str = "all") -> None:
     """Keep the departures per origin and day, so that questions need not scan flights."""
-    counts = departures(flights, ("year", "month")).transform(add_month_partitions)
+    counts = departures(flights, "year", "month").transform(add_month_partitions)
     write_by_month(counts, path, replace=replace)
 
 

@@ -18,15 +18,16 @@ def ddl(columns) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in columns)
 
 
-# Fields of one raw case record. Counts and date parts arrive as
-# text or as numbers, so all of them are read as text and cast by the model.
+# Fields of one raw case record. Counts and date parts arrive as text
+# or as numbers and are cast by the model. They are read as variants: numbers read
+# as text make the parser fetch each of them again from the file.
 CASE_RECORD_FIELDS = _columns("""
 dateRep string
-day string
-month string
-year string
-cases string
-deaths string
+day variant
+month variant
+year variant
+cases variant
+deaths variant
 countriesAndTerritories string
 geoId string
 continentExp string

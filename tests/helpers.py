@@ -1,0 +1,77 @@
+"""Small raw files and plan inspection for the tests."""
+
+import json
+from contextlib import contextmanager
+
+from dailyfacts.schemas import FLIGHT_FILE_COLUMNS, LOOKUP_FILES
+
+HEADER = [name.upper() for name, _ in FLIGHT_FILE_COLUMNS]
+
+RECORD = {
+    "dateRep": "01/03/2020",
+    "day": "1",
+    "month": "3",
+    "year": "2020",
+    "cases": "10",
+    "deaths": "1",
+    "countriesAndTerritories": "United_States_of_America",
+    "geoId": "US",
+    "continentExp": "America",
+    "popData2018": "327167434",
+}
+
+FLIGHT = dict(
+    zip(
+        HEADER,
+        "2020-03-01 AA N1 12478 1247805 31703 JFK New_York NY 36 New_York 22 12892 1289208 32575"
+        " LAX Los_Angeles CA 06 California 91 0005 -5.00 0.00 0.00 0330 10.00 10.00 0.00 0.00".split()
+        + [""],
+    )
+)
+
+
+def write_cases(root, records, name="download.json"):
+    folder = root / "covid19"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(json.dumps({"records": records}, indent=2))
+    return str(folder / name)
+
+
+def flight_line(**changes):
+    row = {**FLIGHT, **changes}
+    return ",".join(f'"{v}"' if "," in v else v for v in row.values())
+
+
+def write_flights(root, lines, name="flights_2020_03.csv", header=None):
+    folder = root / "flights"
+    folder.mkdir(parents=True, exist_ok=True)
+    text = [",".join(header or HEADER), *lines]
+    (folder / name).write_text("\n".join(text) + "\n")
+    return str(folder / name)
+
+
+def write_lookups(root):
+    folder = root / "flights"
+    folder.mkdir(parents=True, exist_ok=True)
+    for file in LOOKUP_FILES.values():
+        (folder / file).write_text('Code,Description\n"12478","New York, NY: ""JFK"""\n"A","Carrier"\n')
+
+
+def executed_plan(df):
+    """The final plan of a DataFrame after running it."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def conf(spark, settings):
+    """Session settings for one block."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -1,0 +1,66 @@
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from dailyfacts.functions import flag_to_bool, flag_to_int, lenient_int, parse_day, rejected
+
+NUMBERS = st.lists(
+    st.one_of(
+        st.text(alphabet="0123456789.+- \tex", max_size=12),
+        st.integers(-(2**33), 2**33).map(str),
+        st.decimals(-(2**32), 2**32, places=2).map(str),
+    ),
+    min_size=1,
+    max_size=200,
+)
+
+
+def column(spark, values, kind="string"):
+    return spark.createDataFrame([(v,) for v in values], f"v {kind}")
+
+
+def test_lenient_int_examples(spark):
+    cases = {
+        "5": 5, "5.7": 5, "-5.7": -5, ".5": 0, ".": 0, "5.": 5, " 7 ": 7, "00012": 12,
+        "": None, "  ": None, "abc": None, "1e3": None, "1,000": None, "5.5.5": None, "-": None,
+        "2147483647.9": 2147483647, "2147483648": None, None: None,
+    }
+    rows = column(spark, cases).select(lenient_int(F.col("v"))).collect()
+    assert [r[0] for r in rows] == list(cases.values())
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=NUMBERS)
+def test_lenient_int_equals_the_cast_outside_ansi_mode(spark, values):
+    df = column(spark, values)
+    ours = [r[0] for r in df.select(lenient_int(F.col("v"))).collect()]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert ours == [r[0] for r in df.select(F.col("v").cast("int")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_parse_day(spark):
+    cases = {
+        "01/03/2020": dt.date(2020, 3, 1), "1/3/2020": dt.date(2020, 3, 1),
+        "30/02/2020": None, "32/01/2020": None, "2020-03-01": None, "": None, None: None,
+    }
+    rows = column(spark, cases).select(parse_day(F.col("v"))).collect()
+    assert [r[0] for r in rows] == list(cases.values())
+
+
+def test_flags(spark):
+    values = [0.0, 1.0, 0.5, -1.9, float("nan"), 3e9, None]
+    rows = column(spark, values, "float").select(flag_to_int(F.col("v")), flag_to_bool(F.col("v"))).collect()
+    assert [r[0] for r in rows] == [0, 1, 0, -1, None, None, None]
+    assert [r[1] for r in rows][:4] == [False, True, True, True]
+    assert rows[-1][1] is None
+
+
+def test_rejected_counts_lost_values_only(spark):
+    df = column(spark, ["7", "x", "", "  ", None])
+    parsed = lenient_int(F.col("v"))
+    assert df.where(rejected(F.col("v"), parsed)).count() == 1

@@ -1,0 +1,85 @@
+import pytest
+from pyspark.sql import functions as F
+
+from dailyfacts.operators.aggregates import (
+    count_where,
+    dedupe,
+    distinct_rows,
+    first_rows,
+    grouped_count,
+    non_null_counts,
+    null_counts,
+    null_profile,
+    repeated_keys,
+)
+from dailyfacts.operators.columns import add_month_partitions, explode_records, lower_names
+from dailyfacts.operators.filters import any_null, rows_with_null
+from dailyfacts.operators.layout import shared
+
+NAN = float("nan")
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_explode_gives_no_row_for_null_and_empty(spark):
+    df = spark.createDataFrame([([1, 2],), ([],), (None,)], "records array<int>")
+    assert rows(explode_records(df)) == [(1,), (2,)]
+
+
+def test_lower_names(spark):
+    df = spark.createDataFrame([(1, 2)], "GeoId int, dateRep int")
+    assert lower_names(df).columns == ["geoid", "daterep"]
+    with pytest.raises(ValueError, match="collide in lower case: a"):
+        lower_names(spark.createDataFrame([(1, 2)], "a int, A int"))
+
+
+def test_month_partitions_are_copies_at_the_end(spark):
+    df = add_month_partitions(spark.createDataFrame([(2020, 3, "x")], "year int, month int, v string"))
+    assert df.columns == ["year", "month", "v", "_year", "_month"]
+    assert rows(df) == [(2020, 3, "x", 2020, 3)]
+
+
+def test_null_predicates(spark):
+    df = spark.createDataFrame([(1, 1), (None, 1), (None, None), (2, None)], "a int, b int")
+    assert df.where(any_null(["a", "b"])).count() == 3
+    assert rows_with_null(df, "a").count() == 2
+    assert count_where(df, any_null(["a", "b"])).collect()[0][0] == 3
+    assert count_where(df.where("false"), any_null(["a"])).collect()[0][0] == 0
+
+
+def test_distinct_keeps_different_counts_of_a_day(spark):
+    df = spark.createDataFrame([("d", 1), ("d", 1), ("d", 2), (None, 1)], "day string, n int")
+    assert rows(distinct_rows(df, "day", "n")) == [("d", 1), ("d", 2), (None, 1)]
+    assert rows(repeated_keys(df, ["day"], ["n"])) == [("d", 2)]
+
+
+def test_count_of_a_null_group_is_zero(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 1)], "origin string, day int")
+    assert rows(grouped_count(df, ["origin", "day"], "origin")) == [("a", 1, 2), (None, 1, 0)]
+
+
+def test_dedupe_pairs(spark):
+    values = [0.0, -0.0, NAN, NAN, None, None]
+    assert dedupe(spark.createDataFrame([(v,) for v in values], "v double")).count() == 3
+
+
+def test_profiles(spark):
+    df = spark.createDataFrame([(1, None, NAN), (None, None, 1.0), (3, None, None)], "a int, `b.c` int, d double")
+    assert rows(non_null_counts(df)) == [(2, 0, 2)]
+    assert rows(null_counts(df)) == [(1, 3, 1)]
+    assert rows(null_profile(df)) == [("a", 2, 1), ("b.c", 0, 3), ("d", 2, 1)]
+
+
+def test_first_rows(spark):
+    df = spark.range(10)
+    assert rows(first_rows(df, 2, F.col("id").desc())) == [(8,), (9,)]
+    assert first_rows(df, 5).count() == 5
+
+
+def test_shared_releases(spark):
+    df = spark.range(10)
+    with shared(df) as kept:
+        assert kept.is_cached and kept.count() == 10
+    assert not df.is_cached

@@ -1,0 +1,105 @@
+import datetime as dt
+import json
+
+import pytest
+from helpers import HEADER, RECORD, flight_line, write_cases, write_flights, write_lookups
+from pyspark.sql import functions as F
+
+from dailyfacts.operators.columns import explode_records
+from dailyfacts.plans.flights import INPUT
+from dailyfacts.sources import (
+    read_case_documents,
+    read_csv_inferred,
+    read_flight_files,
+    read_json_inferred,
+    read_lookup_file,
+)
+
+
+def test_case_document_takes_text_and_numbers(spark, tmp_path):
+    path = write_cases(tmp_path, [RECORD, {**RECORD, "cases": 7, "day": 5.0, "deaths": None}])
+    rows = explode_records(read_case_documents(spark, path))
+    got = rows.select(*[F.col(f"record.{n}").cast("string") for n in ("cases", "day", "deaths")])
+    assert [tuple(r) for r in got.collect()] == [("10", "1", "1"), ("7", "5", None)]
+
+
+@pytest.mark.parametrize("text", ['{"records": []}', '{"records": null}', "{}"])
+def test_no_records_give_no_rows(spark, tmp_path, text):
+    (tmp_path / "d.json").write_text(text)
+    assert explode_records(read_case_documents(spark, str(tmp_path / "d.json"))).count() == 0
+
+
+def test_broken_document_fails(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{"records": [{"cases": 1}, {"ca')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        explode_records(read_case_documents(spark, str(tmp_path / "d.json"))).collect()
+
+
+def test_case_lines_and_several_files(spark, tmp_path):
+    line = json.dumps({"records": [RECORD]})
+    for name in ("a.json", "b.json"):
+        (tmp_path / name).write_text(f"{line}\n{line}\n")
+    documents = read_case_documents(spark, str(tmp_path), multi_line=False)
+    assert explode_records(documents).count() == 4
+
+
+def test_flight_fields_are_typed_one_by_one(spark, tmp_path):
+    path = write_flights(
+        tmp_path,
+        [
+            flight_line(),
+            flight_line(FL_DATE="2020-99-01", ORIGIN_AIRPORT_ID="x", ORIGIN_CITY_NAME="New York, NY"),
+            "2020-03-02,AA",
+        ],
+    )
+    good, bad, short = read_flight_files(spark, path).collect()
+    assert good.FL_DATE == dt.date(2020, 3, 1) and good.DEST_STATE_FIPS == "06" and good.DEP_TIME == "0005"
+    assert good.CANCELLATION_CODE is None
+    assert (bad.FL_DATE, bad.ORIGIN_AIRPORT_ID, bad.ORIGIN_CITY_NAME) == (None, None, "New York, NY")
+    assert bad.DEST == "LAX"
+    assert short.OP_UNIQUE_CARRIER == "AA" and short.DEST is None
+
+
+def test_trailing_empty_column_is_ignored(spark, tmp_path):
+    path = write_flights(tmp_path, [flight_line() + ","], header=[*HEADER, ""])
+    rows = read_flight_files(spark, path)
+    assert rows.columns == HEADER
+    assert rows.first().CANCELLED == 0.0
+
+
+def test_swapped_header_fails_in_any_file(spark, tmp_path):
+    write_flights(tmp_path, [flight_line()], name="flights_2020_01.csv")
+    swapped = [HEADER[1], HEADER[0], *HEADER[2:]]
+    write_flights(tmp_path, [flight_line()], name="flights_2020_02.csv", header=swapped)
+    path = f"{tmp_path}/{INPUT}"
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_flight_files(spark, path).collect()
+    assert read_flight_files(spark, path, check_header=False).count() == 2
+
+
+def test_short_header_fails(spark, tmp_path):
+    path = write_flights(tmp_path, [flight_line()], header=["FL_DATE", "ORIGIN"])
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_flight_files(spark, path).collect()
+
+
+def test_pattern_skips_lookups(spark, tmp_path):
+    write_flights(tmp_path, [flight_line()])
+    write_lookups(tmp_path)
+    assert read_flight_files(spark, f"{tmp_path}/{INPUT}").count() == 1
+
+
+def test_lookup_quotes_and_empty_fields(spark, tmp_path):
+    (tmp_path / "l.csv").write_text(
+        'Code,Description\n"1","Aberdeen, SD: ""X"""\n02,\n"",none\n'
+    )
+    rows = read_lookup_file(spark, str(tmp_path / "l.csv")).collect()
+    assert [tuple(r) for r in rows] == [("1", 'Aberdeen, SD: "X"'), ("02", None), (None, "none")]
+
+
+def test_inferred_readers(spark, tmp_path):
+    flights = read_csv_inferred(spark, write_flights(tmp_path, [flight_line()]))
+    assert dict(flights.dtypes)["FL_DATE"] == "date"
+    assert dict(flights.dtypes)["ORIGIN_AIRPORT_ID"] == "int"
+    documents = read_json_inferred(spark, write_cases(tmp_path, [RECORD]))
+    assert explode_records(documents).select("record.popData2018").first()[0] == "327167434"
