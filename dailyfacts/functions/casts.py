@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A decimal tail such as the ".7" of "5.7", up to the end of the text.
-_DECIMAL_TAIL = r"(\d*)\.\d*(?=[\x00-\x20]*$)"
+# Blanks, a sign, digits with an optional decimal tail, blanks.
+_NUMBER = r"^[\x00-\x20]*[+-]?([0-9]+\.?|\.)[0-9]*[\x00-\x20]*$"
+# The decimal tail, with the digits before it.
+_DECIMAL_TAIL = r"([0-9]*)\.[0-9]*"
 
 
 def lenient_int(value: Column) -> Column:
     """Text to int: blanks trimmed, a decimal tail cut off, anything else null.
 
     ``"5.7"`` gives 5 and ``".5"`` gives 0, as a cast outside ANSI mode does;
-    ``try_cast`` alone gives null for both. The regular expression runs only for
-    values that are not plain integers.
+    ``try_cast`` alone gives null for both. Text that is no number never reaches the
+    cast, which would raise and catch an exception for each such value.
     """
     text = value.cast("string")
-    whole = F.regexp_replace(text, _DECIMAL_TAIL, "0$1")
-    return F.coalesce(text.try_cast("int"), whole.try_cast("int"))
+    whole = F.when(text.contains("."), F.regexp_replace(text, _DECIMAL_TAIL, "0$1")).otherwise(text)
+    return F.when(text.rlike(_NUMBER), whole.try_cast("int"))
 
 
 def flag_to_int(value: Column) -> Column:

@@ -17,24 +17,46 @@ INPUT = "covid19/download.json"
 OUTPUT = "covid_parquet/covid.parquet"
 
 
-def model_records(records: DataFrame) -> DataFrame:
-    """Typed, renamed columns from rows with one ``record`` struct each."""
+# Fields that hold numbers, in text or as numbers.
+NUMBERS = ("cases", "deaths", "day", "month", "year")
+
 
-    def number(name):
-        return lenient_int(F.col(f"record.{name}")).alias(name)
+def parse_records(records: DataFrame) -> DataFrame:
+    """Renamed and typed columns from rows with one ``record`` struct each.
 
-    typed = records.select(
+    The texts they were parsed from stay in a struct ``raw``. Texts are taken out in a
+    projection of their own, so that a variant is turned into text once and not once
+    per use.
+    """
+    texts = records.select(
         F.col("record.countriesAndTerritories").alias("country"),
         F.col("record.continentExp").alias("continent"),
         F.col("record.geoId"),
-        number("cases"),
-        number("deaths"),
-        parse_day(F.col("record.dateRep")).alias("dateRep"),
-        number("day"),
-        number("month"),
-        number("year"),
+        F.col("record.dateRep"),
+        *[F.col(f"record.{name}").cast("string").alias(name) for name in NUMBERS],
+    )
+    numbers = {name: lenient_int(F.col(name)).alias(name) for name in NUMBERS}
+    return texts.select(
+        "country",
+        "continent",
+        "geoId",
+        numbers["cases"],
+        numbers["deaths"],
+        parse_day(F.col("dateRep")).alias("dateRep"),
+        numbers["day"],
+        numbers["month"],
+        numbers["year"],
+        F.struct("dateRep", *NUMBERS).alias("raw"),
     )
-    return typed.transform(lower_names).transform(add_month_partitions)
+
+
+def finish_model(parsed: DataFrame) -> DataFrame:
+    return parsed.drop("raw").transform(lower_names).transform(add_month_partitions)
+
+
+def model_records(records: DataFrame) -> DataFrame:
+    """The case table's columns and the partition columns, one row per record."""
+    return records.transform(parse_records).transform(finish_model)
 
 
 def model_cases(documents: DataFrame) -> DataFrame:
@@ -42,16 +64,14 @@ def model_cases(documents: DataFrame) -> DataFrame:
     return documents.transform(explode_records).transform(model_records).transform(dedupe)
 
 
-def _observe_rejects(records: DataFrame, seen: Observation) -> DataFrame:
-    def lost(name, parse):
-        raw = F.col(f"record.{name}")
-        return F.count_if(rejected(raw, parse(raw))).alias(name)
-
-    return records.observe(
+def _observe_rejects(parsed: DataFrame, seen: Observation) -> DataFrame:
+    return parsed.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
-        lost("dateRep", parse_day),
-        *[lost(name, lenient_int) for name in ("cases", "deaths", "day", "month", "year")],
+        *[
+            F.count_if(rejected(F.col(f"raw.{name}"), F.col(name))).alias(name)
+            for name in ("dateRep", *NUMBERS)
+        ],
     )
 
 
@@ -66,10 +86,9 @@ def load_cases(
     """Read ``{input}/covid19/download.json``, write ``{output}/covid_parquet/covid.parquet``."""
     with timed(JobReport(JOB)) as report:
         seen = Observation()
-        records = read_case_documents(
-            spark, f"{input_path}/{INPUT}", multi_line=multi_line
-        ).transform(explode_records)
-        model = _observe_rejects(records, seen).transform(model_records)
+        documents = read_case_documents(spark, f"{input_path}/{INPUT}", multi_line=multi_line)
+        parsed = documents.transform(explode_records).transform(parse_records)
+        model = finish_model(_observe_rejects(parsed, seen))
         model.printSchema()
         write_by_month(dedupe(model), f"{output_path}/{OUTPUT}", cluster_by=cluster_by)
         counts = dict(seen.get)
