@@ -11,7 +11,7 @@ from dailyfacts.operators.report import JobReport, timed
 from dailyfacts.plans.cases import load_cases
 from dailyfacts.plans.flights import load_flights
 from dailyfacts.plans.reload import reload_all
-from dailyfacts.session import build_session
+from dailyfacts.session import build_session, size_for_input
 
 
 def reload_job(spark: SparkSession, input_path: str, output_path: str) -> None:
@@ -35,4 +35,6 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     args = parser.parse_args(argv)
     print(f"job {args.job}, input {args.input_data}, output {args.output_data}")
     with timed(JobReport(f"{args.job} with session start")):
-        JOBS[args.job](spark or build_session(), args.input_data, args.output_data)
+        spark = spark or build_session()
+        size_for_input(spark, args.input_data)
+        JOBS[args.job](spark, args.input_data, args.output_data)

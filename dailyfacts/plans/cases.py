@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from dailyfacts.operators.aggregates import dedupe
 from dailyfacts.operators.columns import add_month_partitions, explode_records, lower_names
 from dailyfacts.operators.report import JobReport, timed
 from dailyfacts.operators.writes import write_by_month
+from dailyfacts.schemas import MONTH_PARTITIONS
 from dailyfacts.sources import read_case_documents
 
 JOB = "load_covid"
@@ -81,16 +84,21 @@ def load_cases(
     output_path: str,
     *,
     multi_line: bool = True,
-    cluster_by: tuple[str, ...] = ("_year", "_month"),
+    cluster_by: Sequence[str] = MONTH_PARTITIONS,
+    replace: str = "all",
 ) -> JobReport:
-    """Read ``{input}/covid19/download.json``, write ``{output}/covid_parquet/covid.parquet``."""
+    """Read ``{input}/covid19/download.json``, write ``{output}/covid_parquet/covid.parquet``.
+
+    With ``replace="months"`` the input need only hold the months to be replaced, whole.
+    """
     with timed(JobReport(JOB)) as report:
         seen = Observation()
         documents = read_case_documents(spark, f"{input_path}/{INPUT}", multi_line=multi_line)
         parsed = documents.transform(explode_records).transform(parse_records)
         model = finish_model(_observe_rejects(parsed, seen))
         model.printSchema()
-        write_by_month(dedupe(model), f"{output_path}/{OUTPUT}", cluster_by=cluster_by)
+        path = f"{output_path}/{OUTPUT}"
+        write_by_month(dedupe(model), path, cluster_by=cluster_by, replace=replace)
         counts = dict(seen.get)
         report.rows_read = counts.pop("rows")
         report.rejects = counts

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from dailyfacts.operators.aggregates import dedupe
 from dailyfacts.operators.columns import add_month_partitions, lower_names
 from dailyfacts.operators.report import JobReport, timed
 from dailyfacts.operators.writes import write_by_month
+from dailyfacts.schemas import MONTH_PARTITIONS
 from dailyfacts.sources import read_flight_files
 
 JOB = "load_flights"
@@ -37,12 +40,17 @@ def load_flights(
     output_path: str,
     *,
     check_header: bool = True,
-    cluster_by: tuple[str, ...] = ("_year", "_month"),
+    cluster_by: Sequence[str] = MONTH_PARTITIONS,
+    replace: str = "all",
 ) -> JobReport:
-    """Read ``{input}/flights/flights_*_*.csv``, write ``{output}/flights_parquet/flights.parquet``."""
+    """Read ``{input}/flights/flights_*_*.csv``, write ``{output}/flights_parquet/flights.parquet``.
+
+    With ``replace="months"`` the input need only hold the months to be replaced, whole.
+    """
     with timed(JobReport(JOB)) as report:
         rows = read_flight_files(spark, f"{input_path}/{INPUT}", check_header=check_header)
         model = model_flights(rows)
         model.printSchema()
-        write_by_month(model, f"{output_path}/{OUTPUT}", cluster_by=cluster_by)
+        path = f"{output_path}/{OUTPUT}"
+        write_by_month(model, path, cluster_by=cluster_by, replace=replace)
     return report

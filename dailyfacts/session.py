@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+_MB = 1024 * 1024
 
 
 def build_session(
@@ -35,6 +39,37 @@ def build_session(
     return builder.getOrCreate()
 
 
+def input_bytes(spark: SparkSession, path) -> int:
+    """Total size of the files under ``path``; they are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def size_for_input(
+    spark: SparkSession,
+    path,
+    *,
+    partition_bytes: int = 512 * _MB,
+    max_partitions: int = 50_000,
+    max_splits: int = 100_000,
+) -> None:
+    """Raise the number of shuffle partitions and the split size to fit the input.
+
+    A dedupe shuffles all of its input, and a few hundred partitions of 100 TB would be
+    too large for any executor. Adaptive execution merges partitions that turn out
+    small but never splits those of an aggregate. Past the two limits partitions and
+    splits grow instead, since the driver keeps a record per split of all partitions.
+    Partitions are only ever raised, and a split size that was set is left alone.
+    """
+    total = input_bytes(spark, path)
+    partitions = min(ceil(total / partition_bytes), max_partitions)
+    if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    split = ceil(total / max_splits)
+    if split > 128 * _MB and "spark.sql.files.maxPartitionBytes" not in spark.conf.getAll:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared scratch folder.
 

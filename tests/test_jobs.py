@@ -2,7 +2,7 @@ import datetime as dt
 import glob
 
 import pytest
-from helpers import RECORD, flight_line, write_cases, write_flights, write_lookups
+from helpers import RECORD, conf, flight_line, write_cases, write_flights, write_lookups
 
 from dailyfacts.cli import JOBS, main
 from dailyfacts.operators.quality import QualityError
@@ -10,7 +10,7 @@ from dailyfacts.plans import cases, flights
 from dailyfacts.plans.daily import COUNTRY, refresh_departures, store_departures
 from dailyfacts.plans.reload import reload_all
 from dailyfacts.schemas import CASES, FLIGHTS, TABLES
-from dailyfacts.session import build_session, scratch_path
+from dailyfacts.session import build_session, input_bytes, scratch_path, size_for_input
 from dailyfacts.sources import read_model
 
 DAY = dt.date(2020, 3, 1)
@@ -163,6 +163,32 @@ def test_session_and_scratch(spark):
     assert first != second
 
 
+def test_sizes_follow_the_input(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "f.csv").write_bytes(b"x" * 1000)
+    (tmp_path / "g.csv").write_bytes(b"x" * 24)
+    assert input_bytes(spark, str(tmp_path)) == 1024
+    keys = {"spark.sql.shuffle.partitions": "4", "spark.sql.files.maxPartitionBytes": "128MB"}
+    with conf(spark, keys):
+        size_for_input(spark, str(tmp_path))
+        assert {key: spark.conf.get(key) for key in keys} == keys
+        size_for_input(spark, str(tmp_path), partition_bytes=100)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "11"
+        size_for_input(spark, str(tmp_path), partition_bytes=1, max_partitions=20)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"
+
+
+def test_last_months_replace_only_themselves(spark, tmp_path):
+    old, new, out = tmp_path / "old", tmp_path / "new", str(tmp_path)
+    write_flights(old, [flight_line(), flight_line(FL_DATE="2020-02-29")])
+    write_flights(new, [flight_line(TAIL_NUM="M1"), flight_line(TAIL_NUM="M2")])
+    flights.load_flights(spark, str(old), out)
+    for _ in range(2):
+        flights.load_flights(spark, str(new), out, replace="months")
+        model = read_model(spark, f"{out}/{flights.OUTPUT}", FLIGHTS)
+        assert rows(model.select("month", "tail_num")) == [(2, "N1"), (3, "M1"), (3, "M2")]
+
+
 def test_no_python_in_the_plans(spark, tmp_path):
     write_cases(tmp_path, [RECORD])
     write_flights(tmp_path, [flight_line()])
