@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 from dailyfacts.catalogue.raw import (
     CASES_SQL,
     FLIGHT_ROWS_SQL,
-    lookup_rows,
-    write_case_documents,
-    write_case_lines,
-    write_flight_files,
-    write_lookup_file,
+    lookup_file,
+    raw_case_lines,
+    raw_cases,
+    raw_flights,
+    raw_lookups,
 )
 from dailyfacts.catalogue.registry import query, table
 from dailyfacts.operators.aggregates import null_profile
 from dailyfacts.operators.columns import add_month_partitions, explode_records
 from dailyfacts.operators.layout import range_layout
 from dailyfacts.operators.writes import write_by_month
+from dailyfacts.plans import cases, flights
 from dailyfacts.plans.cases import model_cases, model_records
 from dailyfacts.session import scratch_path
 from dailyfacts.sources import (
@@ -46,8 +47,7 @@ def _orders_with_month(spark, sf_dir):
 @query(f"{FLIGHT_ROWS_SQL} union all {FLIGHT_ROWS_SQL}")
 def csv_typed_scan(spark, sf_dir):
     """Headered CSV with a positional schema of 31 columns."""
-    path = write_flight_files(table(spark, sf_dir, "lineitem"), scratch_path(spark, "csv"))
-    rows = read_flight_files(spark, path)
+    rows = read_flight_files(spark, f"{raw_flights(spark, sf_dir)}/{flights.INPUT}")
     return rows.toDF(*[name.lower() for name in rows.columns])
 
 
@@ -83,7 +83,7 @@ union all select 'continentExp', count(*), 0 from orders
 """)
 def json_inferred_profile(spark, sf_dir):
     """Profile of raw JSON records whose types are inferred; a blank text is not a null."""
-    path = write_case_documents(table(spark, sf_dir, "orders"), scratch_path(spark, "json"))
+    path = f"{raw_cases(spark, sf_dir)}/{cases.INPUT}"
     records = explode_records(read_json_inferred(spark, path))
     return null_profile(records.select("record.*"))
 
@@ -95,21 +95,20 @@ from part
 """)
 def lookup_csv_scan(spark, sf_dir):
     """Lookup CSV with commas and doubled quotes inside the values."""
-    rows = lookup_rows(table(spark, sf_dir, "part"), "p_partkey", "p_name")
-    return read_lookup_file(spark, write_lookup_file(rows, scratch_path(spark, "lookup")))
+    return read_lookup_file(spark, lookup_file(raw_lookups(spark, sf_dir), "airport_id"))
 
 
 @query(f"select *, year as _year, month as _month from ({CASES_SQL.replace('distinct ', '')})")
 def json_explode_model(spark, sf_dir):
     """Nested documents exploded into typed, renamed rows, before any dedupe."""
-    path = write_case_documents(table(spark, sf_dir, "orders"), scratch_path(spark, "json"))
+    path = f"{raw_cases(spark, sf_dir)}/{cases.INPUT}"
     return read_case_documents(spark, path).transform(explode_records).transform(model_records)
 
 
 @query(f"select *, year as _year, month as _month from ({CASES_SQL})")
 def json_lines_model(spark, sf_dir):
     """The same model from splittable JSON lines, deduplicated."""
-    path = write_case_lines(table(spark, sf_dir, "orders"), scratch_path(spark, "json"))
+    path = f"{raw_case_lines(spark, sf_dir)}/{cases.INPUT}"
     return model_cases(read_case_documents(spark, path, multi_line=False))
 
 

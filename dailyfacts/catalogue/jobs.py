@@ -7,14 +7,12 @@ from datetime import date
 from dailyfacts.catalogue.raw import (
     CASES_SQL,
     FLIGHTS_SQL,
-    LOOKUP_ORIGINS,
     lookup_file,
-    lookup_rows,
-    write_case_documents,
-    write_flight_files,
-    write_lookup_file,
+    raw_cases,
+    raw_flights,
+    raw_lookups,
 )
-from dailyfacts.catalogue.registry import query, table
+from dailyfacts.catalogue.registry import query
 from dailyfacts.catalogue.tables import scratch_database
 from dailyfacts.operators.joins import only_months_of
 from dailyfacts.plans import cases, flights
@@ -25,7 +23,7 @@ from dailyfacts.plans.daily import (
     store_departures,
 )
 from dailyfacts.plans.reload import reload_all
-from dailyfacts.schemas import CASES, FLIGHTS
+from dailyfacts.schemas import CASES, FLIGHTS, LOOKUPS
 from dailyfacts.session import scratch_path
 from dailyfacts.sources import read_model
 
@@ -45,41 +43,40 @@ select * from days join counts on daterep = fl_date order by daterep desc
 @query(f"select *, year as _year, month as _month from ({CASES_SQL})")
 def case_job(spark, sf_dir):
     """The case job from JSON documents to Parquet, read back with its partitions."""
-    path = scratch_path(spark, "cases")
-    write_case_documents(table(spark, sf_dir, "orders"), path)
-    cases.load_cases(spark, path, path)
+    path = scratch_path(spark, "case-job")
+    cases.load_cases(spark, raw_cases(spark, sf_dir), path)
     return read_model(spark, f"{path}/{cases.OUTPUT}", CASES, keep_partitions=True)
 
 
 @query(f"select *, year as _year, month as _month from ({FLIGHTS_SQL})")
 def flight_job(spark, sf_dir):
     """The flights job from CSV to Parquet, read back with its partitions."""
-    path = scratch_path(spark, "flights")
-    write_flight_files(table(spark, sf_dir, "lineitem"), path)
-    flights.load_flights(spark, path, path)
+    path = scratch_path(spark, "flight-job")
+    flights.load_flights(spark, raw_flights(spark, sf_dir), path)
     return read_model(spark, f"{path}/{flights.OUTPUT}", FLIGHTS, keep_partitions=True)
 
 
 @query(_DAILY_SQL)
 def star_schema_reload(spark, sf_dir):
-    """Raw files, both jobs, nine tables, the gate, and the daily question."""
-    path = scratch_path(spark, "reload")
-    write_case_documents(table(spark, sf_dir, "orders"), path)
-    write_flight_files(table(spark, sf_dir, "lineitem"), path)
-    for name, (origin, code, description) in LOOKUP_ORIGINS.items():
-        rows = lookup_rows(table(spark, sf_dir, origin), code, description)
-        write_lookup_file(rows, lookup_file(path, name))
-    return reload_all(spark, path, path, country=COUNTRY, database=scratch_database(spark))
+    """Both jobs, nine tables, the gate, and the daily question, from raw files."""
+    lookups = raw_lookups(spark, sf_dir)
+    return reload_all(
+        spark,
+        raw_cases(spark, sf_dir),
+        scratch_path(spark, "reload"),
+        flights_path=raw_flights(spark, sf_dir),
+        lookup_paths={name: lookup_file(lookups, name) for name in LOOKUPS},
+        country=COUNTRY,
+        database=scratch_database(spark),
+    )
 
 
 @query(_DAILY_SQL)
 def stored_departures(spark, sf_dir):
     """The daily question from stored counts whose last months were counted again."""
     path = scratch_path(spark, "stored")
-    write_case_documents(table(spark, sf_dir, "orders"), path)
-    write_flight_files(table(spark, sf_dir, "lineitem"), path)
-    cases.load_cases(spark, path, path)
-    flights.load_flights(spark, path, path)
+    cases.load_cases(spark, raw_cases(spark, sf_dir), path)
+    flights.load_flights(spark, raw_flights(spark, sf_dir), path)
     fact, counts = f"{path}/{flights.OUTPUT}", f"{path}/departures.parquet"
     store_departures(read_model(spark, fact, FLIGHTS), counts)
     refresh_departures(spark, fact, counts, since=date(2001, 6, 1))

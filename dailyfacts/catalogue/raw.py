@@ -6,11 +6,16 @@ lookups. Everything is written by Spark, row for row, so the files grow with the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dailyfacts.catalogue.registry import table
 from dailyfacts.plans import cases, flights
 from dailyfacts.schemas import FLIGHT_FILE_COLUMNS, LOOKUP_FILES
+from dailyfacts.session import input_bytes, scratch_path
 
 # Values of the 31 flight columns, in file order. The text is valid in both SQL dialects.
 FLIGHT_VALUES = dict(zip([name for name, _ in FLIGHT_FILE_COLUMNS], [
@@ -145,5 +150,56 @@ LOOKUP_ORIGINS = {
 }
 
 
+def _write_lookups(spark: SparkSession, sf_dir: str, path: str) -> None:
+    for name, (origin, code, description) in LOOKUP_ORIGINS.items():
+        rows = lookup_rows(table(spark, sf_dir, origin), code, description)
+        write_lookup_file(rows, f"{path}/flights/{LOOKUP_FILES[name]}")
+
+
+# Folders already written: (application, table folder, kind) -> (path, bytes).
+_written: dict[tuple[str, str, str], tuple[str, int]] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], object]) -> str:
+    """The folder of one kind of raw files, written on first use in an application.
+
+    It is written again when its files are no longer all there.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    path, size = _written.get(key, ("", 0))
+    try:
+        if path and input_bytes(spark, path) == size:
+            return path
+    except AnalysisException:
+        pass
+    path = scratch_path(spark, kind)
+    write(path)
+    _written[key] = (path, input_bytes(spark, path))
+    return path
+
+
+def raw_cases(spark: SparkSession, sf_dir: str) -> str:
+    """Input folder with the case documents."""
+    orders = table(spark, sf_dir, "orders")
+    return _once(spark, sf_dir, "cases", lambda path: write_case_documents(orders, path))
+
+
+def raw_case_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Input folder with the case documents as lines."""
+    orders = table(spark, sf_dir, "orders")
+    return _once(spark, sf_dir, "case-lines", lambda path: write_case_lines(orders, path))
+
+
+def raw_flights(spark: SparkSession, sf_dir: str) -> str:
+    """Input folder with the flight files."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    return _once(spark, sf_dir, "flights", lambda path: write_flight_files(lineitem, path))
+
+
+def raw_lookups(spark: SparkSession, sf_dir: str) -> str:
+    """Input folder with the seven lookup files."""
+    return _once(spark, sf_dir, "lookups", lambda path: _write_lookups(spark, sf_dir, path))
+
+
 def lookup_file(input_path: str, name: str) -> str:
     return f"{input_path}/flights/{LOOKUP_FILES[name]}"

@@ -72,14 +72,19 @@ def reload_all(
     *,
     country: str = COUNTRY,
     database: str | None = None,
+    flights_path: str | None = None,
     lookup_paths: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Run the stages in order; a failed stage or check stops before the question is asked."""
+    """Run the stages in order; a failed stage or check stops before the question is asked.
+
+    All raw files are under ``input_path`` unless ``flights_path``, another input
+    folder, or ``lookup_paths``, a file per lookup table, says otherwise.
+    """
     _together(
         spark,
         [
             lambda: cases.load_cases(spark, input_path, output_path),
-            lambda: flights.load_flights(spark, input_path, output_path),
+            lambda: flights.load_flights(spark, flights_path or input_path, output_path),
         ],
     )
     recreate_tables(spark, database)
