@@ -6,6 +6,7 @@ from datetime import date
 
 from dailyfacts.catalogue.raw import (
     CASES_SQL,
+    FLIGHT_ROWS_SQL,
     FLIGHTS_SQL,
     lookup_file,
     raw_cases,
@@ -14,6 +15,7 @@ from dailyfacts.catalogue.raw import (
 )
 from dailyfacts.catalogue.registry import query
 from dailyfacts.catalogue.tables import scratch_database
+from dailyfacts.operators.columns import lower_names
 from dailyfacts.operators.joins import only_months_of
 from dailyfacts.plans import cases, flights
 from dailyfacts.plans.daily import (
@@ -22,10 +24,11 @@ from dailyfacts.plans.daily import (
     refresh_departures,
     store_departures,
 )
+from dailyfacts.plans.describe import describe_flights
 from dailyfacts.plans.reload import reload_all
 from dailyfacts.schemas import CASES, FLIGHTS, LOOKUPS
 from dailyfacts.session import scratch_path
-from dailyfacts.sources import read_model
+from dailyfacts.sources import read_flight_files, read_lookup_file, read_model
 
 COUNTRY = "5-LOW"
 
@@ -83,3 +86,26 @@ def stored_departures(spark, sf_dir):
     days = country_days(read_model(spark, f"{path}/{cases.OUTPUT}", CASES), COUNTRY)
     stored = only_months_of(spark.read.parquet(counts), "_year", "_month", days, "daterep")
     return days_with_departures(days, stored)
+
+
+_CODES = ["origin_airport_id", "dest_airport_id", "origin_airport_seq_id"]
+
+
+@query(f"""
+with flights as ({FLIGHT_ROWS_SQL} union all {FLIGHT_ROWS_SQL})
+select fl_date, tail_num, origin_airport_id, dest_airport_id, origin_airport_seq_id,
+  o.p_name || ', "' || cast(o.p_partkey as string) || '"' as origin_airport_id_description,
+  d.p_name || ', "' || cast(d.p_partkey as string) || '"' as dest_airport_id_description,
+  s_name || ', "' || cast(s_suppkey as string) || '"' as origin_airport_seq_id_description
+from flights
+left join part o on origin_airport_id = o.p_partkey
+left join part d on dest_airport_id = d.p_partkey
+left join supplier on origin_airport_seq_id = s_suppkey
+""")
+def described_flights(spark, sf_dir):
+    """Raw flight rows with the descriptions of three of their codes, from lookup files."""
+    files = raw_lookups(spark, sf_dir)
+    lookups = {name: read_lookup_file(spark, lookup_file(files, name)) for name in LOOKUPS}
+    rows = read_flight_files(spark, f"{raw_flights(spark, sf_dir)}/{flights.INPUT}")
+    coded = lower_names(rows).select("fl_date", "tail_num", *_CODES)
+    return describe_flights(coded, lookups, _CODES)

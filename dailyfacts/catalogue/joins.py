@@ -38,8 +38,8 @@ def daily_fact_join(spark, sf_dir):
 
 @query("""
 select l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  concat(p_name, ', "', cast(p_partkey as string), '"') as part,
-  concat(s_name, ', "', cast(s_suppkey as string), '"') as supplier
+  p_name || ', "' || cast(p_partkey as string) || '"' as part,
+  s_name || ', "' || cast(s_suppkey as string) || '"' as supplier
 from lineitem
 left join part on l_partkey = p_partkey
 left join supplier on l_suppkey = s_suppkey

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from dailyfacts.catalogue.registry import query, table
 from dailyfacts.operators.quality import (
     Rule,
-    enforce,
     check_rules,
+    enforce,
     expect_scalar,
     gate,
     null_rule,

@@ -8,8 +8,9 @@ from dailyfacts.cli import JOBS, main
 from dailyfacts.operators.quality import QualityError
 from dailyfacts.plans import cases, flights
 from dailyfacts.plans.daily import COUNTRY, refresh_departures, store_departures
+from dailyfacts.plans.describe import describe_flights_of_tables
 from dailyfacts.plans.reload import reload_all
-from dailyfacts.schemas import CASES, FLIGHTS, TABLES
+from dailyfacts.schemas import CASES, FLIGHTS, LOOKUPS_BY_FLIGHT_COLUMN, TABLES
 from dailyfacts.session import build_session, input_bytes, scratch_path, size_for_input
 from dailyfacts.sources import read_model
 
@@ -108,6 +109,10 @@ def test_reload(spark, tmp_path, database):
         ]
         counts = {name: spark.table(f"{database}.{name}").count() for name in TABLES}
         assert counts == {**{name: 2 for name in TABLES}, "covid": 3, "flights": 5}
+    described = describe_flights_of_tables(spark, LOOKUPS_BY_FLIGHT_COLUMN, database)
+    assert len(described.columns) == 33 + 13 and described.count() == 5
+    names = [f"{c}_description" for c in ("origin_airport_id", "dest_airport_id", "cancellation_code")]
+    assert described.select(*names).distinct().collect() == [('New York, NY: "JFK"', None, None)]
 
 
 def test_reload_stops_at_the_loader(spark, tmp_path, database):

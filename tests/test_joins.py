@@ -55,7 +55,8 @@ def test_hot_day_is_split(spark):
 
 def test_descriptions_by_both_ways(spark):
     fact = spark.createDataFrame([(1,), (7,), (9,), (None,)], "airport int")
-    lookup = spark.createDataFrame([("1", "one"), ("07", "seven"), ("x", "text"), (None, "nothing")], "code string, description string")
+    codes = [("1", "one"), ("07", "seven"), ("x", "text"), (None, "nothing")]
+    lookup = spark.createDataFrame(codes, "code string, description string")
     expected = [(1, "one"), (7, "seven"), (9, None), (None, None)]
     small = with_description(fact, lookup, "airport")
     assert small.columns == ["airport", "airport_description"]
@@ -78,7 +79,14 @@ def test_broadcast_is_measured(spark):
 
 def _facts(spark):
     cases = spark.createDataFrame(
-        [(D1, COUNTRY, 5, 1), (D1, COUNTRY, 5, 1), (D1, COUNTRY, 6, 1), (D2, COUNTRY, 7, None), (D3, "Italy", 8, 2), (None, COUNTRY, 9, 9)],
+        [
+            (D1, COUNTRY, 5, 1),
+            (D1, COUNTRY, 5, 1),
+            (D1, COUNTRY, 6, 1),
+            (D2, COUNTRY, 7, None),
+            (D3, "Italy", 8, 2),
+            (None, COUNTRY, 9, 9),
+        ],
         "daterep date, country string, cases int, deaths int",
     )
     flights = spark.createDataFrame(
