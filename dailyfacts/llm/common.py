@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -53,3 +54,8 @@ def chunks(rows: Iterable[tuple], size, limit: int):
             batch, total = [], 0
     if batch:
         yield batch
+
+
+def process_cache(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker and serves all of its tasks."""
+    return sys.__dict__.setdefault("_dailyfacts_caches", {}).setdefault(name, {})

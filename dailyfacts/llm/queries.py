@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailyfacts.llm import rule_ledger
+from dailyfacts.llm import hilbert_shards, rule_ledger, source_mix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,22 @@ def op7_rule_ledger(spark, sf_dir):
         rule_ledger.passes(rule_ledger.POLICY).alias("kept"),
         "failed_bits",
     )
+
+
+@query()
+def op9_source_mix(spark, sf_dir):
+    """Words that the production mix takes from every document."""
+    mixed = source_mix.mix(table(spark, sf_dir, "documents"))
+    shards = F.transform("draws", lambda d: d["shard"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", shards.alias("shards"))
+
+
+@query()
+def op10_hilbert_shards(spark, sf_dir):
+    """Shard and slot of every document."""
+    ordered = hilbert_shards.hilbert_order(table(spark, sf_dir, "documents"))
+    dealt = hilbert_shards.cut_runs(ordered)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "place",
+    )
