@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailyfacts.llm import hilbert_shards, rule_ledger, source_mix
+from dailyfacts.llm import (
+    hilbert_shards,
+    language_nb,
+    quality_fm,
+    rule_ledger,
+    source_mix,
+    url_rules,
+)
+from dailyfacts.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +105,33 @@ def op10_hilbert_shards(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "place",
     )
+
+
+@query()
+def op1_url_rules(spark, sf_dir):
+    """Verdict on every page: listed rules, else rules mined from the labels of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    mined = url_rules.mine_rules(url_rules.labelled_urls(pages, table(spark, sf_dir, "labels")))
+    return url_rules.judge(pages, mined)
+
+
+@query()
+def op2_quality_fm(spark, sf_dir):
+    """Quality score of every document; labels of held-out rows are not seen."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 3) != 1)
+    machine = quality_fm.fit(docs, labels, metadata=["n_chars"])
+    return quality_fm.score(docs, machine).select(
+        "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op8_language_nb(spark, sf_dir):
+    """Language of every document; held-out rows do not train."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_nb.train(docs.where(remainder(F.col("doc_id"), 4) != 2))
+    return language_nb.predict(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
