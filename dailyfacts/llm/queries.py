@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailyfacts.llm import (
+    arrow_sequences,
     hilbert_shards,
     language_nb,
+    posting_lists,
     quality_fm,
     rule_ledger,
     source_mix,
     url_rules,
 )
 from dailyfacts.llm.common import remainder
+from dailyfacts.session import scratch_path
+
+#: Folder of the public tokenizers' files, on every machine.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +142,20 @@ def op8_language_nb(spark, sf_dir):
     return language_nb.predict(docs, model).select(
         "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query()
+def op5_posting_lists(spark, sf_dir):
+    """The ten nearest others of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    index = posting_lists.build(vectors)
+    return posting_lists.search(index, vectors, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op6_arrow_sequences(spark, sf_dir):
+    """Where every document's ids are in the sequence files, and their checksum."""
+    folder = scratch_path(spark, "sequences")
+    docs = table(spark, sf_dir, "documents")
+    files = arrow_sequences.write_sequences(docs, folder, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return arrow_sequences.read_documents(files, folder).withColumnRenamed("key", "doc_id")
