@@ -12,6 +12,7 @@ from dailyfacts.llm import (
     arrow_sequences,
     hilbert_shards,
     language_nb,
+    partenum,
     posting_lists,
     quality_fm,
     rule_ledger,
@@ -159,3 +160,9 @@ def op6_arrow_sequences(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     files = arrow_sequences.write_sequences(docs, folder, f"{TOKENIZERS}/byte_bpe_50k.json")
     return arrow_sequences.read_documents(files, folder).withColumnRenamed("key", "doc_id")
+
+
+@query()
+def op4_partenum(spark, sf_dir):
+    """Shingles and component of every document."""
+    return partenum.jaccard_groups(table(spark, sf_dir, "documents"))
