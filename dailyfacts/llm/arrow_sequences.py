@@ -22,6 +22,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ LENGTH = 1024
 ROWS = 256
 END_ID = 0
 #: Distinct pieces of text that a worker remembers the ids of.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Characters that are encoded in one go.
 SLICE = 1 << 20
 
@@ -56,7 +57,7 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.type, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.known: dict[str, bytes] = {}
 
     @staticmethod
@@ -79,12 +80,15 @@ class _Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({p for pieces in cut for p in pieces if p not in self.known})
+            # Long pieces seldom come again.
+            lengths = np.fromiter(map(len, self.known), np.int32, len(self.known))
+            most = np.median(lengths)
+            self.known = {p: ids for p, ids in self.known.items() if len(p) < most}
         known = self.known
-        for piece, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[piece] = np.array(found.ids, dtype=self.type).tobytes()
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+        new = list({p for pieces in cut for p in pieces if p not in known})
+        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[piece] = array(self.code, found.ids).tobytes()
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
 
 def _encoder(path: str) -> _Encoder:
@@ -255,8 +259,8 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
     """
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
-    # A task for each file.
-    dealt = placed.repartition("part")
+    # A number that is given is kept, else the few rows would be read by one task.
+    dealt = placed.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, _ = open_folder(folder)
