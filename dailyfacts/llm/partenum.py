@@ -18,8 +18,9 @@ both have the same elements there and share the signature (band, partition, elem
 Bands overlap so far that two sets of similar sizes are always together in one; most
 sets are in one band, the others in two.
 
-Equal sets are one representative from the start. Candidates are checked exactly on
-whole sets in two rounds: in each signature's group all members against the one with
+Equal sets are one representative from the start. Candidates whose parity vectors, a bit
+or two for each element, differ too much cannot be linked and go; the others are checked
+exactly on whole sets. That is done in two rounds: in each signature's group all members against the one with
 fewest rare shingles, which connects groups of copies; then, in groups that still hold
 several components, the pairs between components. No link between different components
 can be missed, and copies are never expanded into all pairs.
@@ -178,24 +179,60 @@ def signatures(s: np.ndarray, common: np.ndarray, rank: np.ndarray) -> tuple[np.
     return np.concatenate(out), len(rare)
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Whether an odd number of elements fall on each of some bits, two or more for each element.
+
+    Two such vectors differ in no more bits than the sets do in elements. Halves laid on
+    each other give the vector of half the length.
+    """
+    n_bits = 1 << max(6, int(2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(n_bits - 1)).astype(np.int64), minlength=n_bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def may_link(left: bytes, n: int, right: bytes, m: int) -> bool:
+    """False only for sets that differ in too many elements."""
+    if len(left) < len(right):
+        left, right = right, left
+    while len(left) > len(right):
+        half = len(left) // 2
+        left = (int.from_bytes(left[:half]) ^ int.from_bytes(left[half:])).to_bytes(half)
+    differ = (int.from_bytes(left) ^ int.from_bytes(right)).bit_count()
+    return differ * (100 + MINIMUM) <= (100 - MINIMUM) * (n + m)
+
+
 def _describe(common_cast):
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["key", "n", "h1", "h2", "n_rare", "parity", "signs"]
         by_rank = common_cast.value
         order = np.argsort(by_rank)
         common, rank = by_rank[order], order
         rows, n_bytes = [], 0
         for (key,), s in _in_sets(batches):
             signs, n_rare = signatures(s, common, rank) if len(s) else (s, 0)
-            rows.append((key, len(s), *set_key(s), n_rare, signs.astype(np.int64)))
-            n_bytes += 8 * len(signs) + 64
+            rows.append((key, len(s), *set_key(s), n_rare, parity(s), signs.astype(np.int64)))
+            n_bytes += 9 * len(signs) + 64
             if n_bytes > 1 << 22:
-                yield pd.DataFrame(rows, columns=["key", "n", "h1", "h2", "n_rare", "signs"])
+                yield pd.DataFrame(rows, columns=columns)
                 rows, n_bytes = [], 0
-        yield pd.DataFrame(rows, columns=["key", "n", "h1", "h2", "n_rare", "signs"])
+        yield pd.DataFrame(rows, columns=columns)
 
     return describe
 
 
+def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose parity vectors do not rule a link out."""
+    narrow = sets.select("key", "n", "parity")
+    both = pairs.join(narrow.toDF("a", "n", "left"), "a").join(narrow.toDF("b", "m", "right"), "b")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = zip(batch["left"], batch["n"], batch["right"], batch["m"], strict=True)
+            yield batch.loc[[may_link(*row) for row in rows], ["a", "b"]]
+
+    return both.mapInPandas(compare, "a long, b long").distinct()
+
+
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """``a, b`` of the pairs that are linked; ``texts`` has ``key, text``.
 
@@ -270,7 +307,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """``key, n_shingles, component_id`` for every row."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     cast = docs.sparkSession.sparkContext.broadcast(common_shingles(rows))
-    schema = "key long, n int, h1 long, h2 long, n_rare int, signs array<long>"
+    schema = "key long, n int, h1 long, h2 long, n_rare int, parity binary, signs array<long>"
     described = rows.mapInPandas(_describe(cast), schema)
     plain = kept(described, "jaccard-described")
     # Equal sets have one representative, the row with the smallest key.
@@ -279,11 +316,12 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     members = kept(_shared_signatures(sets), "jaccard-members")
     texts = rows.where("key is not null")
-    keys = kept(sets.select("h1", "h2", F.col("r.key").alias("rep")), "jaccard-sets-keys")
-    first = _verify(_to_pivots(members), texts)
-    links = kept(first, "jaccard-links")
+    with_words = plain.where("n > 0 and key is not null")
+    keys = kept(with_words.groupBy("h1", "h2").agg(F.min("key").alias("rep")), "jaccard-keys")
+    first = kept(_plausible(_to_pivots(members), with_words), "jaccard-candidates")
+    links = kept(_verify(first, texts), "jaccard-links")
     labels = components(links)
-    rest = kept(_between_components(members, labels), "jaccard-rest")
+    rest = kept(_plausible(_between_components(members, labels), with_words), "jaccard-candidates")
     if not rest.isEmpty():
         links = kept(links.union(_verify(rest, texts)), "jaccard-links")
         labels = components(links)
