@@ -13,6 +13,7 @@ from dailyfacts.llm import (
     hilbert_shards,
     language_nb,
     partenum,
+    piece_codec,
     posting_lists,
     quality_fm,
     rule_ledger,
@@ -166,3 +167,9 @@ def op6_arrow_sequences(spark, sf_dir):
 def op4_partenum(spark, sf_dir):
     """Shingles and component of every document."""
     return partenum.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_piece_codec(spark, sf_dir):
+    """Piece ids of every document, and whether they decode to its text."""
+    return piece_codec.encode(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
