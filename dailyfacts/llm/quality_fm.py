@@ -233,3 +233,26 @@ def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "t
                 yield pd.DataFrame({"key": part["key"], "score": _sigmoid(raw)})
 
     return rows.mapInPandas(apply, f"key {kind}, score double").withColumnRenamed("key", key)
+
+
+def keep_good(docs: DataFrame, machine: Machine, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``least``, with their own columns only.
+
+    Rows are scored where they are, so keys need not be unique.
+    """
+    cast = docs.sparkSession.sparkContext.broadcast(
+        (machine.bias, machine.weights, machine.vectors, machine.buckets, machine.metadata)
+    )
+
+    @F.pandas_udf("double")
+    def scored(row: pd.DataFrame) -> pd.Series:
+        fm = Machine(*cast.value)
+        raw = [
+            fm.raw(i, x)
+            for part in _parts(row)
+            for i, x in _features(part["text"].tolist(), _metadata(part, fm.metadata), fm.buckets)
+        ]
+        return pd.Series(_sigmoid(np.array(raw, dtype=float)))
+
+    columns = [F.col(f"`{text}`").alias("text"), *[F.col(f"`{m}`").alias(m) for m in machine.metadata]]
+    return docs.where(scored(F.struct(*columns)) >= least)

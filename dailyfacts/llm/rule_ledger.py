@@ -196,7 +196,9 @@ def keep_passing(
     """The rows that the policy keeps, with their own columns only."""
     measured = measure(docs, text)
     ledger = measured.columns[-1]
-    return measured.where(~_fails(policy, ledger, rules)).drop(ledger)
+    # A filter would be pushed below the measurements and repeat them for every rule.
+    stays = F.explode(F.when(~_fails(policy, ledger, rules), F.array(F.lit(True))))
+    return measured.withColumn(f"{ledger}_stays", stays).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _fails(policy: Policy, ledger: str, rules: Sequence[Rule]) -> Column:
