@@ -53,7 +53,9 @@ BAND = 4.0
 PARTITIONS = 0.6
 #: Common shingles that are left out, at most, and documents that one is in, at least.
 COMMON = 50_000
-COMMON_DOCS = 64
+COMMON_DOCS = 16
+#: Members of a group that are compared with as many others at a time.
+BLOCK = 512
 #: Bytes of text that are looked at in one go.
 SLICE = 1 << 21
 
@@ -131,7 +133,7 @@ def _common_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             names, counts = fold(names, counts, fresh)
             fresh, n = [], 0
     names, counts = fold(names, counts, fresh)
-    often = counts >= 3
+    often = counts >= 2
     yield pd.DataFrame({"shingle": names[often].astype(np.int64), "n": counts[often]})
 
 
@@ -321,7 +323,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     first = kept(_plausible(_to_pivots(members), with_words), "jaccard-candidates")
     links = kept(_verify(first, texts), "jaccard-links")
     labels = components(links)
-    rest = kept(_plausible(_between_components(members, labels), with_words), "jaccard-candidates")
+    rest = kept(_between_components(members, labels, with_words), "jaccard-candidates")
     if not rest.isEmpty():
         links = kept(links.union(_verify(rest, texts)), "jaccard-links")
         labels = components(links)
@@ -354,27 +356,85 @@ def _similar_sizes(a: str, b: str):
 
 
 def _to_pivots(members: DataFrame) -> DataFrame:
-    """``a, b``: in each group every member with the one that has the smallest share of rare shingles."""
+    """``a, b``: every member with the two pivots that it shares most groups with.
+
+    A group's pivot is the member with the smallest share of rare shingles, in a group of
+    copies the one without changes. This only connects what it can; what is left in
+    several components is compared in full afterwards.
+    """
     order = Window.partitionBy("sign").orderBy(F.col("n_rare") / F.col("n"), "key")
     pivot = F.first(F.struct("key", "n")).over(order).alias("p")
     paired = members.select("key", "n", pivot)
     near = paired.where((F.col("key") != F.col("p.key")) & _similar_sizes("n", "p.n"))
-    return near.select(
-        F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b")
+    counted = near.groupBy("key", F.col("p.key").alias("pivot")).agg(F.count(F.lit(1)).alias("shared"))
+    best = Window.partitionBy("key").orderBy(F.col("shared").desc(), "pivot")
+    chosen = counted.withColumn("nth", F.row_number().over(best)).where("nth <= 2")
+    return chosen.select(
+        F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")
     ).distinct()
 
 
-def _between_components(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``a, b``: the pairs of a group that are in different components so far."""
+def _between_components(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b``: the pairs of a group in different components that may be linked.
+
+    Groups come in blocks, and only pairs that parity vectors do not rule out become rows.
+    """
     named = members.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
     spread = named.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     open_groups = spread.where("lo != hi").select("sign")
-    left = kept(named.join(open_groups, "sign", "left_semi"), "jaccard-open")
-    right = left.select("sign", *[F.col(c).alias(f"{c}_2") for c in ("key", "n", "component")])
-    pairs = left.join(right, "sign").where(
-        (F.col("key") < F.col("key_2")) & (F.col("component") != F.col("component_2")) & _similar_sizes("n", "n_2")
+    left = named.join(open_groups, "sign", "left_semi").select("sign", "key", "component")
+    full = left.join(sets.select("key", "n", "parity").dropDuplicates(["key", "n", "parity"]), "key")
+    place = F.row_number().over(Window.partitionBy("sign").orderBy("n", "key"))
+    parts = kept(
+        full.withColumn("block", F.floor((place - 1) / BLOCK).cast("int"))
+        .groupBy("sign", "block")
+        .agg(F.collect_list(F.struct("key", "component", "n", "parity")).alias("rows"))
+        .select("sign", "block", *[F.col(f"rows.{c}").alias(c) for c in ("key", "component", "n", "parity")]),
+        "jaccard-blocks",
     )
-    return pairs.select(F.col("key").alias("a"), F.col("key_2").alias("b")).distinct()
+    columns = ["key", "component", "n", "parity"]
+    other = parts.select("sign", F.col("block").alias("block_2"), *[F.col(c).alias(f"{c}_2") for c in columns])
+    met = parts.join(other, "sign").where("block <= block_2 and (block != block_2 or size(key) > 1)")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                one = (row.key, row.component, row.n, row.parity)
+                two = (row.key_2, row.component_2, row.n_2, row.parity_2)
+                a, b = _open_pairs(*map(np.asarray, one[:3]), one[3], *map(np.asarray, two[:3]), two[3])
+                yield pd.DataFrame({"a": a, "b": b})
+
+    return met.mapInPandas(compare, "a long, b long").distinct()
+
+
+def _folded(vectors: list[bytes], length: int) -> np.ndarray:
+    """Parity vectors of a common length as rows of words, halves laid on each other down to another."""
+    rows = np.frombuffer(b"".join(vectors), np.uint64).reshape(len(vectors), -1)
+    while rows.shape[1] * 8 > length:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
+
+
+def _open_pairs(keys, components, sizes, vectors, keys_2, components_2, sizes_2, vectors_2):
+    """Keys of the pairs that are in different components and may be linked, the smaller first."""
+    lengths = np.array([len(v) for v in vectors])
+    lengths_2 = np.array([len(v) for v in vectors_2])
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    for x in np.unique(lengths):
+        for y in np.unique(lengths_2):
+            mine, theirs = np.flatnonzero(lengths == x), np.flatnonzero(lengths_2 == y)
+            left = _folded([vectors[i] for i in mine], min(x, y))
+            right = _folded([vectors_2[i] for i in theirs], min(x, y))
+            n, m = sizes[mine].astype(np.int64), sizes_2[theirs].astype(np.int64)
+            for at, i in enumerate(mine):
+                differ = np.bitwise_count(left[at] ^ right).sum(axis=1, dtype=np.int64)
+                fits = differ * (100 + MINIMUM) <= (100 - MINIMUM) * (n[at] + m)
+                fits &= components[i] != components_2[theirs]
+                others = keys_2[theirs[fits]]
+                found.append(np.stack([np.full(len(others), keys[i]), others], axis=1))
+    pairs = np.sort(np.concatenate(found), axis=1)
+    return pairs[:, 0], pairs[:, 1]
 
 
 def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
