@@ -37,7 +37,7 @@ from dailyfacts.llm.common import chunks, process_cache
 
 BLANK = "▁"
 #: Distinct words that a worker remembers the ids of, and pairs of pieces.
-REMEMBERED = 800_000
+REMEMBERED = 1_200_000
 PAIRS = 1_000_000
 #: Characters that are encoded in one go.
 SLICE = 1 << 20
@@ -196,7 +196,32 @@ class Codec:
             at = begin
         return out[::-1]
 
+    def _short(self, text: str) -> list[int] | None:
+        """Ids of a text that fits the window, where every character has a piece."""
+        pieces, known, longest = self.pieces, self.pairs, self.longest
+        last, begins, ids = [""], [0], [0]
+        for i in range(1, len(text) + 1):
+            for j in range(max(0, i - longest), i):
+                piece = text[j:i]
+                number = pieces.get(piece)
+                if number is not None:
+                    apart = known.get((last[j], piece))
+                    if apart or apart is None and self._apart(last[j], piece):
+                        last.append(piece)
+                        begins.append(j)
+                        ids.append(number)
+                        break
+            else:
+                return None
+        out, at = [], len(text)
+        while at:
+            out.append(ids[at])
+            at = begins[at]
+        return out[::-1]
+
     def segment_ids(self, text: str) -> list[int]:
+        if self.bpe and len(text) <= 4 * self.longest and (found := self._short(text)) is not None:
+            return found
         ids = []
         for piece, known in self.stream(text):
             if known:
@@ -225,7 +250,11 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian bytes of the codec's type."""
-        cut = [self.segments(self.model.normalize(t)) for t in texts]
+        return self.encode_normal(self.model.normalize(texts))
+
+    def encode_normal(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that are normalised already."""
+        cut = [self.segments(t) for t in texts]
         if len(self.known) > REMEMBERED:
             # Long words seldom come again.
             most = np.median(np.fromiter(map(len, self.known), np.int32, len(self.known)))
@@ -271,9 +300,12 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
         codec = _codec(model)
         for part in _texts(batches, "text"):
             texts = [t if isinstance(t, str) else "" for t in part["text"]]
-            found = codec.encode(texts)
-            normal = [codec.model.normalize(t).replace(BLANK, " ").removeprefix(" ") for t in texts]
-            same = [codec.decode(ids) == n for ids, n in zip(found, normal, strict=True)]
+            normal = codec.model.normalize(texts)
+            found = codec.encode_normal(normal)
+            same = [
+                codec.decode(ids) == n.replace(BLANK, " ").removeprefix(" ")
+                for ids, n in zip(found, normal, strict=True)
+            ]
             ids = [np.frombuffer(i, codec.type).astype(np.int32) for i in found]
             yield pd.DataFrame(
                 {
