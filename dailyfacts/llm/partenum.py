@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks, kept
+from dailyfacts.llm.common import chunks, free_name, kept
 from dailyfacts.llm.hashing import mix, word_hashes
 from dailyfacts.operators.joins import broadcast_if_small
 
@@ -440,18 +440,29 @@ def _open_pairs(keys, components, sizes, vectors, keys_2, components_2, sizes_2,
 def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are the first of their group, with their own columns only.
 
-    Rows without shingles or key stay; of rows with the same smallest key one stays.
+    Rows without shingles or key stay; of rows with the same smallest key one stays. Texts
+    are only shuffled when the keys that go are too many to be broadcast, or for repeated keys.
     """
-    from dailyfacts.llm.common import free_name
-
-    row = free_name(docs, "_row")
-    numbered = kept(docs.withColumn(row, F.monotonically_increasing_id()), "jaccard-documents")
-    groups = jaccard_groups(numbered, key, text).select(F.col(key).alias("_k"), "component_id", "n_shingles")
-    gone = groups.where("n_shingles > 0 and _k != component_id").select("_k").distinct()
-    first = numbered.join(gone, numbered[key] == gone["_k"], "left_anti")
-    again = F.row_number().over(Window.partitionBy(key).orderBy(F.col(f"`{text}`"), row))
-    has_words = F.coalesce(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col(f"`{key}`").isNotNull()
-    return (
-        first.withColumn(f"{row}_n", F.when(has_words, again).otherwise(1)).where(F.col(f"{row}_n") == 1)
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    k = free_name(docs, "_key")
+    groups = kept(
+        jaccard_groups(docs, key, text).where("n_shingles > 0").select(F.col(key).alias(k), "component_id"),
+        "jaccard-groups",
     )
+    gone = groups.where(F.col(k) != F.col("component_id")).select(k).distinct()
+    first = docs.join(broadcast_if_small(gone), F.col(f"`{key}`") == F.col(k), "left_anti")
+    again = kept(
+        groups.where(F.col(k) == F.col("component_id")).groupBy(k).agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select(k),
+        "jaccard-repeated",
+    )
+    if again.isEmpty():
+        return first
+    same = F.col(f"`{key}`") == F.col(k)
+    others = first.join(broadcast_if_small(again), same, "left_anti")
+    several = first.join(broadcast_if_small(again), same, "left_semi")
+    place = F.row_number().over(Window.partitionBy(F.col(f"`{key}`")).orderBy(F.col(f"`{text}`")))
+    with_words = F.coalesce(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    ranked = several.withColumn(f"{k}_n", place)
+    lowest = F.min(F.when(with_words, F.col(f"{k}_n"))).over(Window.partitionBy(F.col(f"`{key}`")))
+    chosen = ranked.withColumn(f"{k}_low", lowest).where(~with_words | (F.col(f"{k}_n") == F.col(f"{k}_low")))
+    return others.unionByName(chosen.select(*[F.col(f"`{c}`") for c in docs.columns]))

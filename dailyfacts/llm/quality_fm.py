@@ -12,8 +12,8 @@ all rows. Fitting is numpy on the driver over at most ``SAMPLE`` rows of at most
 
 Defined results: a null or empty text has zero statistics and gets a score like any
 other; very long texts are read whole; ties of the sample break by text; rows without a
-label do not train; with no labelled row, or one class only, every score is the share of
-label 1 (0.5 without any); only the named columns are read.
+label do not train; with no labelled row every score is 0.5, with one class only it is
+that class; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -184,7 +184,7 @@ def _descend(index, value, labels, buckets, n_dense, rank, names) -> Machine:
     rng = np.random.default_rng(7)
     weights, vectors = np.zeros(n_features), rng.normal(0, 0.05, (n_features, rank))
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         bias = 35.0 * (2 * share - 1)
         return Machine(bias, weights, np.zeros_like(vectors), buckets, names)
     # Every class weighs a half.

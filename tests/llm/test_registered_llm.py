@@ -1,0 +1,64 @@
+"""The registered queries on the smallest tables, and the pipeline against its stages."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import compare
+import pytest
+
+import corpus_pipeline
+from dailyfacts.llm import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+NAMES = [
+    "op1_url_rules", "op2_quality_fm", "op3_piece_codec", "op4_partenum", "op5_posting_lists",
+    "op6_arrow_sequences", "op7_rule_ledger", "op8_language_nb", "op9_source_mix", "op10_hilbert_shards",
+]
+
+
+def test_every_operator_has_one_query():
+    assert sorted(queries.QUERIES) == sorted(NAMES)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_matches_its_sql(spark, name):
+    found = queries.QUERIES[name](spark, SF_DIR)
+    assert compare.compare(found, compare.connect(SF_DIR), queries.ORACLES[name]) == ""
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
+    found = queries.QUERIES["op8_language_nb"](spark, SF_DIR).where("held_out").join(docs, "doc_id").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in found)
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.95 * len(found)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    scored = queries.QUERIES["op2_quality_fm"](spark, SF_DIR).where("held_out").join(labels, "doc_id").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in scored)
+    assert sum(r.quality == r.predicted for r in scored) >= 0.9 * len(scored)
+
+
+def test_pipeline_keeps_what_its_stages_say(spark):
+    from dailyfacts.llm import partenum, quality_fm, rule_ledger, source_mix
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    words = re.compile(r"[^\x20\x09-\x0D]+")
+    ledger = rule_ledger.rule_ledger(docs)
+    passed = {r.doc_id for r in ledger.where("failed_bits = 0").collect()}
+    machine = quality_fm.fit(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"), metadata=["n_chars"])
+    good = {r.doc_id for r in quality_fm.score(docs, machine).where("score >= 0.5").collect()} & passed
+    left = docs.where(docs.doc_id.isin(list(good)))
+    first = {r.doc_id for r in partenum.jaccard_groups(left).where("doc_id = component_id").collect()}
+    mixed = source_mix.mix(docs.where(docs.doc_id.isin(list(first)))).where("taken > 0").collect()
+    rows = corpus_pipeline.run(spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(m.doc_id for m in mixed for _ in m.draws)
+    assert all(r.round_trip and r.n_ids == len(r.ids) for r in rows)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert sum(m.taken for m in mixed) >= 1.4 * sum(len(words.findall(texts[i])) for i in first)
+
+
+def test_stages_keep_the_columns_of_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(30)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF_DIR).columns == docs.columns, name
