@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 def parse_day(value: Column, pattern: str = "d/M/yyyy") -> Column:
     """Day-first text to date, null when it is no such date.
 
-    The default pattern takes days and months of one or two digits.
+    The default pattern takes days and months of one or two digits. Years have four
+    digits; text with another year is no date.
     """
-    return F.try_to_date(value, pattern)
+    day = F.try_to_date(value, pattern)
+    return F.when(F.year(day).between(1, 9999), day)
 
 
 def year_of(day: Column) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 
 def any_of(predicates: Iterable[Column]) -> Column:
-    return reduce(operator.or_, predicates)
+    """True when one of the predicates is; false for none at all."""
+    return reduce(operator.or_, predicates, F.lit(False))
 
 
 def any_null(columns: Iterable[str]) -> Column:

@@ -54,17 +54,18 @@ def parse_records(records: DataFrame) -> DataFrame:
 
 
 def finish_model(parsed: DataFrame) -> DataFrame:
-    return parsed.drop("raw").transform(lower_names).transform(add_month_partitions)
+    """Distinct rows; the partition columns are copies and added afterwards."""
+    return parsed.drop("raw").transform(lower_names).transform(dedupe).transform(add_month_partitions)
 
 
 def model_records(records: DataFrame) -> DataFrame:
-    """The case table's columns and the partition columns, one row per record."""
+    """The case table's columns and the partition columns, one row per distinct record."""
     return records.transform(parse_records).transform(finish_model)
 
 
 def model_cases(documents: DataFrame) -> DataFrame:
     """Distinct case rows of all documents, ready to be written by month."""
-    return documents.transform(explode_records).transform(model_records).transform(dedupe)
+    return documents.transform(explode_records).transform(model_records)
 
 
 def _observe_rejects(parsed: DataFrame, seen: Observation) -> DataFrame:
@@ -94,11 +95,14 @@ def load_cases(
     with timed(JobReport(JOB)) as report:
         seen = Observation()
         documents = read_case_documents(spark, f"{input_path}/{INPUT}", multi_line=multi_line)
+        if documents.transform(explode_records).isEmpty():
+            # Before anything old is removed.
+            raise ValueError(f"{input_path}/{INPUT} holds no record; nothing was written")
         parsed = documents.transform(explode_records).transform(parse_records)
         model = finish_model(_observe_rejects(parsed, seen))
         model.printSchema()
         path = f"{output_path}/{OUTPUT}"
-        write_by_month(dedupe(model), path, cluster_by=cluster_by, replace=replace)
+        write_by_month(model, path, cluster_by=cluster_by, replace=replace)
         counts = dict(seen.get)
         report.rows_read = counts.pop("rows")
         report.rejects = counts

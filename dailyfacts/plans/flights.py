@@ -22,16 +22,17 @@ OUTPUT = "flights_parquet/flights.parquet"
 
 
 def model_flights(rows: DataFrame) -> DataFrame:
-    """Distinct flight rows with year, month and an integer flag, ready to be written by month."""
-    day = F.col("FL_DATE")
-    dated = rows.withColumns(
-        {
-            "YEAR": year_of(day),
-            "MONTH": month_of(day),
-            "CANCELLED": flag_to_int(F.col("CANCELLED")),
-        }
+    """Distinct flight rows with year, month and an integer flag, ready to be written by month.
+
+    The dedupe comes before the columns that follow from the date, so that they are not
+    shuffled.
+    """
+    typed = rows.withColumn("CANCELLED", flag_to_int(F.col("CANCELLED")))
+    day = F.col("fl_date")
+    dated = typed.transform(lower_names).transform(dedupe).withColumns(
+        {"year": year_of(day), "month": month_of(day)}
     )
-    return dated.transform(lower_names).transform(add_month_partitions).transform(dedupe)
+    return dated.transform(add_month_partitions)
 
 
 def load_flights(

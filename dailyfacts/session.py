@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from math import ceil
 
@@ -73,12 +72,11 @@ def size_for_input(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared scratch folder.
 
-    The folder comes from ``spark.checkpoint.dir``. A machine-local one is used
-    only in local mode, where driver and executors share the disk.
+    The folder comes from ``spark.checkpoint.dir``, else from the context's checkpoint
+    folder, else from the warehouse, which executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="dailyfacts-")
+        set_before = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = set_before.get() if set_before.isDefined() else spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/dailyfacts-{label}-{uuid.uuid4().hex}"

@@ -47,8 +47,14 @@ def read_flight_files(spark: SparkSession, path, *, check_header: bool = True) -
 
 
 def read_lookup_file(spark: SparkSession, path) -> DataFrame:
-    """``code, description`` rows; quotes inside a value are doubled, empty fields are null."""
-    return spark.read.schema(ddl(LOOKUP_COLUMNS)).csv(path, header=True, escape='"')
+    """``code, description`` rows; quotes inside a value are doubled, empty fields are null.
+
+    A row with more or fewer fields fails the read: cutting or filling it would change
+    the lookup unseen.
+    """
+    return spark.read.schema(ddl(LOOKUP_COLUMNS)).csv(
+        path, header=True, escape='"', mode="FAILFAST"
+    )
 
 
 def read_csv_inferred(spark: SparkSession, path) -> DataFrame:
