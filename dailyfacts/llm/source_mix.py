@@ -53,10 +53,13 @@ def _number(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
 
 
-def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``key, source, size`` and ``name``, the source as a key without nulls."""
+def sizes(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", label: str | None = None
+) -> DataFrame:
+    """``key, label, source, size`` and ``name``, the source as a key without nulls."""
     return docs.select(
         F.col(key).alias("key"),
+        F.col(label or key).alias("label"),
         F.col(source).alias("source"),
         F.size(words(F.col(text))).cast("long").alias("size"),
         F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("name"),
@@ -111,7 +114,7 @@ def _blocks(sized: DataFrame, targets: DataFrame, blocks: int) -> DataFrame:
         ),
     )
     joined = sized.join(counted.drop("source"), "name")
-    return joined.withColumn("block", _number(_hash(SEED, "block", F.col("key"))) % F.col("n_blocks"))
+    return joined.withColumn("block", _number(_hash(SEED, "block", F.col("label"))) % F.col("n_blocks"))
 
 
 def _draws(in_blocks: DataFrame) -> DataFrame:
@@ -179,6 +182,7 @@ def mix(
     text: str = "text",
     source: str = "source",
     *,
+    label: str | None = None,
     share: float = SHARE,
     weights: Sequence[int] = WEIGHTS,
     cap: float = CAP,
@@ -187,10 +191,11 @@ def mix(
 ) -> DataFrame:
     """A row for every document: ``key, size, source_size, target, taken, draws``.
 
-    ``draws`` holds ``shard, words, place`` for every pass that takes words of it: the
-    place orders a shard. ``taken`` is their sum.
+    ``draws`` holds ``shard, words, pass`` for every pass that takes words of it, and
+    ``taken`` is their sum. Random choices go by the ``label``
+    column, which is the key if none is named.
     """
-    sized = kept(sizes(docs, key, text, source), "mix-sizes")
+    sized = kept(sizes(docs, key, text, source, label), "mix-sizes")
     totals = sized.groupBy("name").agg(
         F.first("source").alias("source"),
         F.sum("size").alias("source_size"),
@@ -220,7 +225,7 @@ def mix(
     # The part of a block: its documents in permuted order, until the words are taken.
     part = F.filter("passes", lambda p: ~p["all_of_it"])
     in_part = F.coalesce(F.size(part) > 0, F.lit(False))
-    order = Window.partitionBy("name", "block").orderBy(_hash(SEED, "document", F.col("key")), "key")
+    order = Window.partitionBy("name", "block").orderBy(_hash(SEED, "document", F.col("label")), "key")
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     room = F.greatest(F.lit(0), F.get(part, F.lit(0))["words"] - F.col("before"))
     columns = ["key", "size", "source_size", "target", "passes"]
@@ -269,11 +274,11 @@ def mixed_documents(
     names = {x: free_name(docs, x) for x in ("_draw", "_row")}
     row, draw = names["_row"], names["_draw"]
     numbered = kept(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
-    plan = mix(numbered, row, text, source, **options).select(row, "size", F.explode("draws").alias(draw))
+    plan = mix(numbered, row, text, source, label=key, **options).select(row, "size", F.explode("draws").alias(draw))
     joined = numbered.join(plan.withColumnRenamed("size", f"{draw}_size"), row)
     t, d = F.col(f"`{text}`"), F.col(f"`{draw}`")
     leading = F.array_join(F.slice(words(t), 1, F.greatest(d["words"], F.lit(0)).cast("int")), " ")
     cut = joined.withColumn(text, F.when(d["words"] < F.col(f"`{draw}_size`"), leading).otherwise(t))
-    order = _hash(SEED, "row", F.col(f"`{row}`"), d["pass"])
+    order = _hash(SEED, "row", F.col(f"`{key}`"), d["pass"])
     ranged = cut.repartitionByRange(d["shard"], order).sortWithinPartitions(d["shard"], order)
     return ranged.select(*[F.col(f"`{c}`") for c in docs.columns])
