@@ -374,27 +374,57 @@ def _to_pivots(members: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _near_others(named: DataFrame) -> DataFrame:
+    """Members of a group with another of similar size and a different component in it.
+
+    In the order of sizes, the nearest member of another component is the one before, or
+    after, the run of members with the own component.
+    """
+    runs = named
+    for side, order in (("down", [F.col("n"), F.col("key")]), ("up", [F.desc("n"), F.desc("key")])):
+        along = Window.partitionBy("sign").orderBy(*order)
+        turn = F.when(F.lag("component").over(along) != F.col("component"), F.lag("n").over(along))
+        so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        runs = runs.withColumn("_turn", turn).withColumn(side, F.last("_turn", ignorenulls=True).over(so_far))
+    near = (F.col("down") * 100 >= F.col("n") * MINIMUM) | (F.col("n") * 100 >= F.col("up") * MINIMUM)
+    return runs.where(near).select("sign", "key", "component", "n")
+
+
 def _between_components(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """``a, b``: the pairs of a group in different components that may be linked.
 
-    Groups come in blocks, and only pairs that parity vectors do not rule out become rows.
+    Groups with the same members are one. They come in blocks, and only pairs that parity
+    vectors do not rule out become rows.
     """
     named = members.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    spread = named.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_groups = spread.where("lo != hi").select("sign")
-    left = named.join(open_groups, "sign", "left_semi").select("sign", "key", "component")
+    near = kept(_near_others(named), "jaccard-open")
+    # Similar sets share many signatures: of the groups with the same members one is enough.
+    spread = near.groupBy("sign").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.bit_xor(F.xxhash64("key")).alias("x1"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("x2"),
+    )
+    open_groups = spread.groupBy("members", "x1", "x2").agg(F.min("sign").alias("sign")).select("sign")
+    left = near.join(open_groups, "sign").select("sign", "key", "component")
     full = left.join(sets.select("key", "n", "parity").dropDuplicates(["key", "n", "parity"]), "key")
     place = F.row_number().over(Window.partitionBy("sign").orderBy("n", "key"))
+    columns = ["key", "component", "n", "parity"]
     parts = kept(
         full.withColumn("block", F.floor((place - 1) / BLOCK).cast("int"))
+        .withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("sign")))
         .groupBy("sign", "block")
-        .agg(F.collect_list(F.struct("key", "component", "n", "parity")).alias("rows"))
-        .select("sign", "block", *[F.col(f"rows.{c}").alias(c) for c in ("key", "component", "n", "parity")]),
+        .agg(F.collect_list(F.struct(*columns)).alias("rows"), F.max("members").alias("members"))
+        .select("sign", "block", "members", *[F.col(f"rows.{c}").alias(c) for c in columns]),
         "jaccard-blocks",
     )
-    columns = ["key", "component", "n", "parity"]
-    other = parts.select("sign", F.col("block").alias("block_2"), *[F.col(c).alias(f"{c}_2") for c in columns])
-    met = parts.join(other, "sign").where("block <= block_2 and (block != block_2 or size(key) > 1)")
+
+    def beside(df: DataFrame) -> DataFrame:
+        return df.select("sign", F.col("block").alias("block_2"), *[F.col(c).alias(f"{c}_2") for c in columns])
+
+    # A block meets itself where it is; only groups of several blocks are joined.
+    alone = parts.select(*columns, *[F.col(c).alias(f"{c}_2") for c in columns])
+    large = parts.where(F.col("members") > BLOCK)
+    met = large.join(beside(large), "sign").where("block < block_2")
+    met = alone.unionByName(met.select(alone.columns))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
