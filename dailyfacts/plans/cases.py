@@ -29,16 +29,25 @@ def parse_records(records: DataFrame) -> DataFrame:
 
     The texts they were parsed from stay in a struct ``raw``. Texts are taken out in a
     projection of their own, so that a variant is turned into text once and not once
-    per use.
+    per use. A JSON number in exponent form is no such text and is read by its value.
     """
+    kinds = {f.name: f.dataType.typeName() for f in records.schema["record"].dataType.fields}
+    variants = [name for name in NUMBERS if kinds[name] == "variant"]
     texts = records.select(
         F.col("record.countriesAndTerritories").alias("country"),
         F.col("record.continentExp").alias("continent"),
         F.col("record.geoId"),
         F.col("record.dateRep"),
         *[F.col(f"record.{name}").cast("string").alias(name) for name in NUMBERS],
+        *[F.col(f"record.{name}").alias(f"_{name}") for name in variants],
     )
-    numbers = {name: lenient_int(F.col(name)).alias(name) for name in NUMBERS}
+    numbers = {
+        name: F.coalesce(
+            lenient_int(F.col(name)),
+            *([F.try_variant_get(F.col(f"_{name}"), "$", "int")] if name in variants else []),
+        ).alias(name)
+        for name in NUMBERS
+    }
     return texts.select(
         "country",
         "continent",

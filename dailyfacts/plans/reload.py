@@ -74,17 +74,22 @@ def reload_all(
     database: str | None = None,
     flights_path: str | None = None,
     lookup_paths: Mapping[str, str] | None = None,
+    case_options: Mapping[str, object] | None = None,
+    flight_options: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Run the stages in order; a failed stage or check stops before the question is asked.
 
     All raw files are under ``input_path`` unless ``flights_path``, another input
-    folder, or ``lookup_paths``, a file per lookup table, says otherwise.
+    folder, or ``lookup_paths``, a file per lookup table, says otherwise. The options are
+    keywords of ``load_cases`` and ``load_flights``.
     """
     _together(
         spark,
         [
-            lambda: cases.load_cases(spark, input_path, output_path),
-            lambda: flights.load_flights(spark, flights_path or input_path, output_path),
+            lambda: cases.load_cases(spark, input_path, output_path, **(case_options or {})),
+            lambda: flights.load_flights(
+                spark, flights_path or input_path, output_path, **(flight_options or {})
+            ),
         ],
     )
     recreate_tables(spark, database)

@@ -1,8 +1,10 @@
 import datetime as dt
 import glob
+import json
 
 import pytest
 from helpers import RECORD, conf, flight_line, write_cases, write_flights, write_lookups
+from pyspark.sql import functions as F
 
 from dailyfacts.cli import JOBS, main
 from dailyfacts.operators.quality import QualityError
@@ -150,7 +152,31 @@ def test_command_line(spark, tmp_path, capsys):
         main(["--job", "other", "--input-data", path, "--output-data", path], spark)
     with pytest.raises(SystemExit):
         main(["--job", "load_flights"], spark)
-    assert set(JOBS) == {"load_covid", "load_flights", "reload"}
+    assert set(JOBS) == {"load_covid", "load_flights", "refresh_departures", "reload"}
+
+
+def test_command_line_recounts_departures(spark, tmp_path):
+    path = _raw(tmp_path)
+    main(["--job", "load_flights", "--input-data", path, "--output-data", path, "--replace", "months"], spark)
+    refresh = ["--job", "refresh_departures", "--input-data", path, "--output-data", path]
+    with pytest.raises(SystemExit):
+        main(refresh, spark)
+    main([*refresh, "--since", "2020-01-01"], spark)
+    assert spark.read.parquet(f"{path}/departures.parquet").agg(F.sum("num")).first()[0] > 0
+
+
+def test_numbers_in_exponent_form_and_json_lines(spark, tmp_path):
+    record = {"countriesAndTerritories": "X", "dateRep": "1/3/2020", "day": 1, "month": 3, "year": 2020}
+    lines = [
+        json.dumps({"records": [{**record, "deaths": "1.2e7"}]})[:-3] + f', "cases": {n}}}]}}'
+        for n in ("1.2e7", "15E6", "5.7")
+    ]
+    file = tmp_path / cases.INPUT
+    file.parent.mkdir(parents=True)
+    file.write_text("\n".join(lines))
+    main(["--job", "load_covid", "--input-data", str(tmp_path), "--output-data", str(tmp_path), "--json-lines"], spark)
+    found = spark.read.parquet(f"{tmp_path}/{cases.OUTPUT}").select("cases", "deaths").collect()
+    assert sorted(map(tuple, found)) == [(5, None), (12_000_000, None), (15_000_000, None)]
 
 
 def test_command_line_reload(spark, tmp_path):
