@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailyfacts.llm.common import free_name, kept, words
+from dailyfacts.operators.joins import broadcast_if_small
 
 #: What the sources together are to give, as a multiple of all words.
 SHARE = 1.5
@@ -62,10 +63,15 @@ def sizes(
         F.col(label or key).alias("label"),
         F.col(source).alias("source"),
         F.size(words(F.col(text))).cast("long").alias("size"),
-        F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("name"),
+        _name(source),
     )
 
 
+def _name(source: str) -> Column:
+    """The source as a key without nulls."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("name")
+
+
 def source_targets(
     totals: DataFrame, share: float = SHARE, weights: Sequence[int] = WEIGHTS, cap: float = CAP
 ) -> DataFrame:
@@ -103,17 +109,19 @@ def source_targets(
     ).drop("weight", "cap", "full_at", "rate", "common", "place")
 
 
-def _blocks(sized: DataFrame, targets: DataFrame, blocks: int) -> DataFrame:
-    """``sized`` with its source's columns and its block."""
+def _counted(targets: DataFrame, blocks: int) -> DataFrame:
+    """``name, source_size, target, n_blocks`` of every source."""
     everything = F.greatest(F.sum("source_size").over(Window.partitionBy()), F.lit(1))
-    counted = targets.withColumn(
-        "n_blocks",
-        F.greatest(
-            F.lit(1),
-            F.least(F.col("n_docs"), F.round(F.col("source_size") * blocks / everything).cast("long")),
-        ),
+    n_blocks = F.greatest(
+        F.lit(1),
+        F.least(F.col("n_docs"), F.round(F.col("source_size") * blocks / everything).cast("long")),
     )
-    joined = sized.join(counted.drop("source"), "name")
+    return targets.select("name", "source_size", "target", n_blocks.alias("n_blocks"))
+
+
+def _blocks(rows: DataFrame, counted: DataFrame) -> DataFrame:
+    """``rows`` (with ``name, label``) with their source's columns and their block."""
+    joined = rows.join(counted, "name")
     return joined.withColumn("block", _number(_hash(SEED, "block", F.col("label"))) % F.col("n_blocks"))
 
 
@@ -176,34 +184,20 @@ def split_tree(counts: DataFrame, shards: int = SHARDS) -> DataFrame:
     return tree.select("name", "nth", F.col("first").alias("shard"))
 
 
-def mix(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    *,
-    label: str | None = None,
-    share: float = SHARE,
-    weights: Sequence[int] = WEIGHTS,
-    cap: float = CAP,
-    shards: int = SHARDS,
-    blocks: int = BLOCKS,
-) -> DataFrame:
-    """A row for every document: ``key, size, source_size, target, taken, draws``.
+def _dealt(
+    sized: DataFrame, share: float, weights: Sequence[int], cap: float, shards: int, blocks: int
+) -> tuple[DataFrame, DataFrame]:
+    """The sources with their targets and numbers of blocks, and the passes of every drawn block.
 
-    ``draws`` holds ``shard, words, pass`` for every pass that takes words of it, and
-    ``taken`` is their sum. Random choices go by the ``label``
-    column, which is the key if none is named.
+    The latter are ``name, block, passes`` with ``pass, shard, words, all_of_it`` in each pass.
     """
-    sized = kept(sizes(docs, key, text, source, label), "mix-sizes")
     totals = sized.groupBy("name").agg(
         F.first("source").alias("source"),
         F.sum("size").alias("source_size"),
         F.count(F.lit(1)).alias("n_docs"),
     )
-    targets = kept(source_targets(totals, share, weights, cap), "mix-targets")
-    in_blocks = _blocks(sized, targets, blocks)
-    draws = kept(_draws(in_blocks), "mix-draws")
+    counted = kept(_counted(source_targets(totals, share, weights, cap), blocks), "mix-targets")
+    draws = kept(_draws(_blocks(sized, counted)), "mix-draws")
     permuted = draws.withColumn(
         "nth",
         F.row_number().over(
@@ -215,24 +209,53 @@ def mix(
     counts = draws.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
     dealt = permuted.join(split_tree(counts, shards), ["name", "nth"])
     # At most one draw for each pass, so the lists are short.
-    by_block = kept(
-        dealt.groupBy("name", "block").agg(
-            F.sort_array(F.collect_list(F.struct("pass", "shard", "words", "all_of_it"))).alias("passes")
-        ),
-        "mix-blocks",
+    by_block = dealt.groupBy("name", "block").agg(
+        F.sort_array(F.collect_list(F.struct("pass", "shard", "words", "all_of_it"))).alias("passes")
     )
-    drawn = in_blocks.join(by_block, ["name", "block"], "left")
-    # The part of a block: its documents in permuted order, until the words are taken.
-    part = F.filter("passes", lambda p: ~p["all_of_it"])
-    in_part = F.coalesce(F.size(part) > 0, F.lit(False))
+    return counted, kept(by_block, "mix-blocks")
+
+
+def _with_room(partial: DataFrame) -> DataFrame:
+    """``partial``, documents of blocks drawn in part, with the words that this draw takes of each.
+
+    Documents are in permuted order, until the words of the draw are taken.
+    """
     order = Window.partitionBy("name", "block").orderBy(_hash(SEED, "document", F.col("label")), "key")
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    part = F.filter("passes", lambda p: ~p["all_of_it"])
     room = F.greatest(F.lit(0), F.get(part, F.lit(0))["words"] - F.col("before"))
+    return partial.withColumn("before", before).withColumn("room", F.least(F.col("size"), room))
+
+
+def _in_part() -> Column:
+    return F.coalesce(F.exists("passes", lambda p: ~p["all_of_it"]), F.lit(False))
+
+
+def mix(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    *,
+    label: str | None = None,
+    share: float = SHARE,
+    weights: Sequence[int] = WEIGHTS,
+    cap: float = CAP,
+    shards: int = SHARDS,
+    blocks: int = BLOCKS,
+) -> DataFrame:
+    """A row for every document: ``key, size, source_size, target, taken, draws``.
+
+    ``draws`` holds ``shard, words, pass`` for every pass that takes words of it, and
+    ``taken`` is their sum. Random choices go by the ``label``
+    column, which is the key if none is named.
+    """
+    sized = kept(sizes(docs, key, text, source, label), "mix-sizes")
+    counted, by_block = _dealt(sized, share, weights, cap, shards, blocks)
+    drawn = _blocks(sized, counted).join(by_block, ["name", "block"], "left")
     columns = ["key", "size", "source_size", "target", "passes"]
-    whole = drawn.where(~in_part).select(*columns, F.lit(0).cast("long").alias("room"))
-    partial = drawn.where(in_part).withColumn("before", before).select(
-        *columns, F.least(F.col("size"), room).alias("room")
-    )
+    whole = drawn.where(~_in_part()).select(*columns, F.lit(0).cast("long").alias("room"))
+    partial = _with_room(drawn.where(_in_part())).select(*columns, "room")
     rows = whole.unionByName(partial)
     places = F.transform(
         "passes",
@@ -264,21 +287,55 @@ def mix(
 
 
 def mixed_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    *,
+    share: float = SHARE,
+    weights: Sequence[int] = WEIGHTS,
+    cap: float = CAP,
+    shards: int = SHARDS,
+    blocks: int = BLOCKS,
 ) -> DataFrame:
     """The mix itself, in columns of ``docs``: a document once for every draw.
 
     A draw of part of a document gives its leading words, one blank apart; there is at
     most one such document for each source. Rows are ordered by shard, and inside by hash.
+
+    Texts are shuffled once, into that order: a document's block follows from its key and
+    source, and the passes of the blocks are a small table. Only the documents of blocks
+    that are drawn in part, one for each source, are joined with their words besides.
     """
-    names = {x: free_name(docs, x) for x in ("_draw", "_row")}
-    row, draw = names["_row"], names["_draw"]
+    row = free_name(docs, "_row")
     numbered = kept(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
-    plan = mix(numbered, row, text, source, label=key, **options).select(row, "size", F.explode("draws").alias(draw))
-    joined = numbered.join(plan.withColumnRenamed("size", f"{draw}_size"), row)
-    t, d = F.col(f"`{text}`"), F.col(f"`{draw}`")
-    leading = F.array_join(F.slice(words(t), 1, F.greatest(d["words"], F.lit(0)).cast("int")), " ")
-    cut = joined.withColumn(text, F.when(d["words"] < F.col(f"`{draw}_size`"), leading).otherwise(t))
-    order = _hash(SEED, "row", F.col(f"`{key}`"), d["pass"])
-    ranged = cut.repartitionByRange(d["shard"], order).sortWithinPartitions(d["shard"], order)
-    return ranged.select(*[F.col(f"`{c}`") for c in docs.columns])
+    sized = kept(sizes(numbered, row, text, source, key), "mix-sizes")
+    counted, by_block = _dealt(sized, share, weights, cap, shards, blocks)
+    of_part = by_block.where(_in_part())
+    rooms = kept(
+        _with_room(_blocks(sized, counted).join(of_part, ["name", "block"])).where("room > 0")
+        .select("key", F.when(F.col("room") < F.col("size"), F.col("room")).alias("room")),
+        "mix-rooms",
+    )
+    # Columns of the documents are in a struct, where their names clash with nothing.
+    carried = numbered.where(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]")).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(row).alias("key"), F.col(key).alias("label"), _name(source),
+    )
+    placed = _blocks(carried, broadcast_if_small(counted.select("name", "n_blocks")))
+
+    def draws(passes: DataFrame, all_of_it: bool) -> DataFrame:
+        wanted = F.filter("passes", lambda p: p["all_of_it"] == F.lit(all_of_it))
+        found = placed.join(broadcast_if_small(passes), ["name", "block"])
+        return found.select("doc", "key", F.explode(wanted).alias("draw"))
+
+    whole = draws(by_block, True).withColumn("room", F.lit(None).cast("long"))
+    copies = whole.unionByName(draws(of_part, False).join(rooms, "key"))
+    shard, order = F.col("draw.shard"), _hash(SEED, "row", F.col("doc").getField(key), F.col("draw.pass"))
+    ranged = copies.repartitionByRange(shard, order).sortWithinPartitions(shard, order)
+    t, room = F.col("doc").getField(text), F.col("room")
+    leading = F.array_join(F.slice(words(t), 1, F.coalesce(room, F.lit(0)).cast("int")), " ")
+    cut = F.when(room.isNotNull(), leading).otherwise(t)
+    return ranged.select(
+        *[(cut if c.lower() == text.lower() else F.col("doc").getField(c)).alias(c) for c in docs.columns]
+    )
