@@ -19,6 +19,7 @@ given; an empty table gives no rows; only the named columns are read.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ from dailyfacts.llm.common import kept
 #: Vectors that the centroids are fitted on, at most, and centroids, at most.
 SAMPLE = 20_000
 CENTROIDS = 128
-#: Links of a centroid in the graph, and how many candidates a walk keeps.
+#: Links of a centroid in the graph, and how many candidates a walk keeps at least.
 LINKS = 16
 WIDTH = 48
 REPLICATE = 1.15
@@ -97,26 +98,32 @@ def neighbour_graph(centres: np.ndarray, links: int = LINKS) -> np.ndarray:
     return np.concatenate([near, ring], axis=1)
 
 
-def walk(q: np.ndarray, centres: np.ndarray, graph: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """The ``width`` nearest centroids found by a best-first walk, with distances."""
+def walk(
+    q: np.ndarray, centres: np.ndarray, graph: np.ndarray, ratio: float, width: int = WIDTH
+) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids found by a best-first walk, nearest first, with distances.
+
+    It goes on until the next centroid is beyond the nearest ``width`` and also beyond
+    ``ratio`` times the nearest of all.
+    """
     entry = 0
     seen = {entry}
     d = float(np.linalg.norm(centres[entry] - q))
-    ahead, best = [(d, entry)], [(-d, entry)]
+    ahead, best = [(d, entry)], [(d, entry)]
+    reach = np.inf
     while ahead:
         d, here = heapq.heappop(ahead)
-        if len(best) >= width and d > -best[0][0]:
+        if d > reach:
             break
         fresh = [int(c) for c in graph[here] if c not in seen]
         seen.update(fresh)
         for c, far in zip(fresh, np.sqrt(((centres[fresh] - q) ** 2).sum(1)) if fresh else (), strict=True):
-            if len(best) < width or far < -best[0][0]:
+            if far <= reach:
                 heapq.heappush(ahead, (float(far), c))
-                heapq.heappush(best, (-float(far), c))
-                if len(best) > width:
-                    heapq.heappop(best)
-    found = sorted((-d, c) for d, c in best)
-    return np.array([c for _, c in found]), np.array([d for d, _ in found])
+                bisect.insort(best, (float(far), c))
+                beam = best[width - 1][0] if len(best) >= width else np.inf
+                reach = max(beam, ratio * best[0][0])
+    return np.array([c for _, c in best]), np.array([d for d, _ in best])
 
 
 def _lists(cast, ratio: float, most: int | None, spread: bool):
@@ -132,7 +139,7 @@ def _lists(cast, ratio: float, most: int | None, spread: bool):
                 q = np.asarray(v, dtype=float)
                 if len(q) != centres.shape[1]:
                     continue
-                found, far = walk(q, centres, graph)
+                found, far = walk(q, centres, graph, ratio)
                 chosen: list[int] = []
                 for c, d in zip(found, far, strict=True):
                     if chosen and (d > ratio * far[0] or most and len(chosen) >= most):

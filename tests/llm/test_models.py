@@ -213,6 +213,19 @@ def test_neighbours_against_brute_force(spark):
     assert posting_lists.search(posting_lists.build(vectors.limit(0)), vectors, vectors.vec_id == 0).count() == 0
 
 
+def test_a_walk_finds_every_list_within_the_ratio():
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(150, 64))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    graph = posting_lists.neighbour_graph(centres)
+    for q in rng.normal(size=(20, 64)) / 8:
+        d = np.sqrt(((centres - q) ** 2).sum(1))
+        within = set(np.flatnonzero(d <= 1.35 * d.min()))
+        assert len(within) > posting_lists.WIDTH
+        found, far = posting_lists.walk(q, centres, graph, 1.35)
+        assert within <= set(found) and np.allclose(far, np.sort(d[found]))
+
+
 # Near copies.
 
 
