@@ -5,7 +5,8 @@ none holds more than a fair share. A neighbourhood graph over the centroids, bro
 with them, is searched by best-first walks. Every vector is posted to its nearest
 centroid and, near a border, to further ones whose distance is at most
 ``REPLICATE`` times the nearest and which no closer list already stands for. A query
-reads the lists whose centroids are at most ``PROBE`` times as far as the nearest.
+takes the nearest lists until they hold ``k`` vectors besides itself, replicas counted
+once, and reads all lists whose centroids are at most ``PROBE`` times as far as those.
 
 Lists are kept as blocks of bounded size, so a list that holds a third of all vectors is
 searched by many tasks; each gives its best ``k`` for each query, and those are merged.
@@ -98,67 +99,94 @@ def neighbour_graph(centres: np.ndarray, links: int = LINKS) -> np.ndarray:
     return np.concatenate([near, ring], axis=1)
 
 
-def walk(
-    q: np.ndarray, centres: np.ndarray, graph: np.ndarray, ratio: float, width: int = WIDTH
-) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids found by a best-first walk, nearest first, with distances.
+def _holding(best: list[tuple[float, int]], held: np.ndarray | None, need: int) -> float:
+    """How far lists, nearest first, go until they hold ``need`` vectors, infinite if never.
+
+    Without ``held`` any list holds enough.
+    """
+    if held is None:
+        return best[0][0]
+    total = 0
+    for d, c in best:
+        total += held[c]
+        if total >= need:
+            return d
+    return np.inf
 
-    It goes on until the next centroid is beyond the nearest ``width`` and also beyond
-    ``ratio`` times the nearest of all.
+
+def walk(
+    q: np.ndarray, centres: np.ndarray, graph: np.ndarray, ratio: float, width: int = WIDTH,
+    held: np.ndarray | None = None, need: int = 1,
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Centroids found by a best-first walk, nearest first, with distances, and the bound.
+
+    The bound is ``ratio`` times the distance of the list with which the nearest ones hold
+    ``need`` vectors. The walk goes on until the next centroid is beyond the nearest
+    ``width`` and also beyond the bound.
     """
     entry = 0
     seen = {entry}
     d = float(np.linalg.norm(centres[entry] - q))
     ahead, best = [(d, entry)], [(d, entry)]
-    reach = np.inf
+    bound, reach = ratio * _holding(best, held, need), np.inf
     while ahead:
         d, here = heapq.heappop(ahead)
         if d > reach:
             break
-        fresh = [int(c) for c in graph[here] if c not in seen]
+        fresh = [c for c in dict.fromkeys(graph[here].tolist()) if c not in seen]
         seen.update(fresh)
         for c, far in zip(fresh, np.sqrt(((centres[fresh] - q) ** 2).sum(1)) if fresh else (), strict=True):
             if far <= reach:
                 heapq.heappush(ahead, (float(far), c))
                 bisect.insort(best, (float(far), c))
-                beam = best[width - 1][0] if len(best) >= width else np.inf
-                reach = max(beam, ratio * best[0][0])
-    return np.array([c for _, c in best]), np.array([d for d, _ in best])
+                bound = ratio * _holding(best, held, need)
+                reach = max(best[width - 1][0] if len(best) >= width else np.inf, bound)
+    return np.array([c for _, c in best]), np.array([d for d, _ in best]), bound
 
 
-def _lists(cast, ratio: float, most: int | None, spread: bool):
-    """Rows with a list each: the nearest one and those within the ratio.
+def _lists(
+    cast, ratio: float, most: int | None, spread: bool, held: np.ndarray | None = None, need: int = 1
+):
+    """Rows with a list each: the nearest one and those within the bound of the walk.
 
-    With ``spread`` a list is left out when one already chosen is closer to it than the vector.
+    ``nearest`` says which is the nearest one. With ``spread`` a list is left out when one
+    already chosen is closer to it than the vector.
     """
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         centres, graph = cast.value
         for batch in batches:
-            rows, lists = [], []
+            rows, lists, nearest = [], [], []
             for i, v in enumerate(batch["v"]):
                 q = np.asarray(v, dtype=float)
                 if len(q) != centres.shape[1]:
                     continue
-                found, far = walk(q, centres, graph, ratio)
+                found, far, bound = walk(q, centres, graph, ratio, held=held, need=need)
                 chosen: list[int] = []
                 for c, d in zip(found, far, strict=True):
-                    if chosen and (d > ratio * far[0] or most and len(chosen) >= most):
+                    if chosen and (d > bound or most and len(chosen) >= most):
                         break
                     if spread and any(np.linalg.norm(centres[c] - centres[o]) < d for o in chosen):
                         continue
                     chosen.append(int(c))
                 rows += [i] * len(chosen)
                 lists += chosen
-            yield batch.iloc[rows].assign(list=lists)
+                nearest += [c == chosen[0] for c in chosen]
+            yield batch.iloc[rows].assign(list=lists, nearest=nearest)
 
     return assign
 
 
+LISTED = "key long, v array<double>, list int, nearest boolean"
+
+
 class Index:
-    """Centroids with their graph, and the posting lists as blocks."""
+    """Centroids with their graph, the posting lists as blocks, and how many keys each holds.
+
+    ``held`` counts a key in one list only, so those of several lists add up.
+    """
 
-    def __init__(self, centres: np.ndarray, graph: np.ndarray, blocks: DataFrame, cast):
-        self.centres, self.graph, self.blocks, self.cast = centres, graph, blocks, cast
+    def __init__(self, centres: np.ndarray, graph: np.ndarray, blocks: DataFrame, cast, held: np.ndarray):
+        self.centres, self.graph, self.blocks, self.cast, self.held = centres, graph, blocks, cast, held
 
 
 def build(
@@ -178,9 +206,12 @@ def build(
     graph = neighbour_graph(centres)
     cast = spark.sparkContext.broadcast((centres, graph))
     posted = kept(
-        rows.mapInPandas(_lists(cast, REPLICATE, REPLICAS, True), "key long, v array<double>, list int"),
-        "ann-postings",
+        rows.mapInPandas(_lists(cast, REPLICATE, REPLICAS, True), LISTED), "ann-postings"
     )
+    held = np.zeros(len(centres), dtype=np.int64)
+    once = posted.where("nearest").groupBy("key").agg(F.min("list").alias("list"))
+    for row in once.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():
+        held[row["list"]] = row["n"]
     sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_blocks"))
     dealt = posted.join(F.broadcast(sizes), "list").withColumn(
         "block", F.pmod(F.xxhash64("key", "v"), F.col("n_blocks")).cast("int")
@@ -189,7 +220,7 @@ def build(
     blocks = dealt.groupBy("list", "block").agg(
         F.collect_list("key").alias("keys"), F.flatten(F.collect_list("v")).alias("values")
     )
-    return Index(centres, graph, kept(blocks, "ann-blocks"), cast)
+    return Index(centres, graph, kept(blocks, "ann-blocks"), cast, held)
 
 
 def search(
@@ -201,7 +232,7 @@ def search(
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = usable(vectors.where(wanted), key, vector)
-    probed = queries.mapInPandas(_lists(index.cast, probe, None, False), "key long, v array<double>, list int")
+    probed = queries.mapInPandas(_lists(index.cast, probe, None, False, index.held, k + 1), LISTED)
     packed = probed.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(1 << 20)))
     numbered = packed.withColumn(
         "pack", F.floor((F.row_number().over(Window.partitionBy("list").orderBy("pack", "key")) - 1) / QUERIES)
@@ -216,18 +247,24 @@ def search(
         for batch in batches:
             for row in batch.itertuples():
                 ids = np.asarray(row.keys, dtype=np.int64)
-                b = np.asarray(row.values, dtype=float).reshape(len(ids), width)
+                order = np.argsort(ids, kind="stable")
+                ids, b = ids[order], np.asarray(row.values, dtype=float).reshape(len(ids), width)[order]
+                # Rows of one key count once.
+                begins = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+                names = ids[begins]
                 q_ids = np.asarray(row.q_keys, dtype=np.int64)
                 q = np.asarray(row.q_values, dtype=float).reshape(len(q_ids), width)
                 rough = _squares(q, b)
+                least = np.minimum.reduceat(rough, begins, axis=1)
                 out = []
                 for i, own in enumerate(q_ids):
                     # Rounding of the fast distances is far below this slack.
-                    others = ids != own
-                    limit = np.partition(rough[i][others], k - 1)[k - 1] if others.sum() > k else np.inf
-                    near = np.flatnonzero(others & (rough[i] <= limit + 1e-9 * (1 + abs(limit))))
+                    others = names != own
+                    limit = np.partition(least[i][others], k - 1)[k - 1] if others.sum() > k else np.inf
+                    near = np.flatnonzero((ids != own) & (rough[i] <= limit + 1e-9 * (1 + abs(limit))))
                     exact = np.sqrt(((b[near] - q[i]) ** 2).sum(1))
-                    top = np.lexsort((ids[near], exact))[:k]
+                    top = np.lexsort((ids[near], exact))
+                    top = top[np.sort(np.unique(ids[near][top], return_index=True)[1])][:k]
                     out.append(pd.DataFrame({"query_id": own, "vec_id": ids[near][top], "score": exact[top]}))
                 yield pd.concat(out)
 

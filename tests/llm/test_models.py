@@ -8,6 +8,7 @@ from itertools import pairwise
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dailyfacts.llm import (
     arrow_sequences,
@@ -222,10 +223,44 @@ def test_a_walk_finds_every_list_within_the_ratio():
         d = np.sqrt(((centres - q) ** 2).sum(1))
         within = set(np.flatnonzero(d <= 1.35 * d.min()))
         assert len(within) > posting_lists.WIDTH
-        found, far = posting_lists.walk(q, centres, graph, 1.35)
+        found, far, _ = posting_lists.walk(q, centres, graph, 1.35)
         assert within <= set(found) and np.allclose(far, np.sort(d[found]))
 
 
+def _searched(spark, x, wanted, ids=None):
+    ids = list(range(len(x))) if ids is None else ids
+    rows = [(i, [float(v) for v in row]) for i, row in zip(ids, x, strict=True)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    by_query = {}
+    for r in posting_lists.search(posting_lists.build(vectors), vectors, wanted).collect():
+        by_query.setdefault(r.query_id, set()).add(r.vec_id)
+    return by_query
+
+
+def test_outliers_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(21)
+    x = np.concatenate([rng.normal(size=(2000, 16)), 60 * rng.normal(size=(20, 16))])
+    found = _searched(spark, x, F.col("vec_id") >= 2000)
+    assert [len(found.get(q, ())) for q in range(2000, 2020)] == [10] * 20
+    hits = sum(
+        len(found[q] & set(np.argsort(((x - x[q]) ** 2).sum(1), kind="stable")[1:11].tolist())) for q in found
+    )
+    assert hits >= 0.9 * 200
+
+
+@pytest.mark.parametrize("n", [12, 16, 24, 40])
+def test_few_vectors_give_full_results(spark, n):
+    found = _searched(spark, np.random.default_rng(n).normal(size=(n, 16)), F.lit(True))
+    assert [len(found.get(q, ())) for q in range(n)] == [10] * n
+
+
+def test_repeated_rows_of_a_key_take_one_place(spark):
+    x = np.random.default_rng(4).normal(size=(60, 8))
+    x[1:30] = x[0] + 0.01
+    found = _searched(spark, x, F.col("vec_id") == 0, [0, *[1] * 29, *range(2, 32)])
+    assert len(found[0]) == 10 and 1 in found[0]
+
+
 # Near copies.
 
 
