@@ -5,9 +5,9 @@ table of languages by hash buckets and sends its filled buckets, which Spark add
 The log-probability matrix is small (languages times buckets, checked against a bound)
 and is broadcast. Scoring looks every n-gram of a text up in it and adds the rows.
 
-The score is the posterior of the predicted language, with the evidence of a text
-counted as that of ``EVIDENCE`` n-grams at most, since n-grams of one text depend on each
-other and the plain posterior of a long text is always 1.
+The predicted language has the largest plain posterior. The score is its posterior with
+the evidence of a text counted as that of ``EVIDENCE`` n-grams at most, since n-grams of
+one text depend on each other and the plain posterior of a long text is always 1.
 
 Defined results: null or empty texts and texts without a letter are ``und`` with score
 0; ties go to the first language by code point; very long texts are read whole in
@@ -139,13 +139,14 @@ def _score(model_cast):
                         filled = np.flatnonzero(np.diff(inside))
                         total[filled] += np.add.reduceat(values, inside[filled], axis=0)
                 n = np.maximum(np.diff(begins) * len(ORDERS), 1)[:, None]
+                first = (total + prior).argmax(axis=1)
                 log = total * np.minimum(1, EVIDENCE / n) + prior
                 log -= log.max(axis=1, keepdims=True)
                 share = np.exp(log)
                 share /= share.sum(axis=1, keepdims=True)
                 at = np.array([i for i, _ in part])
-                best[at] = share.argmax(axis=1)
-                posterior[at] = share.max(axis=1)
+                best[at] = first
+                posterior[at] = share[np.arange(len(part)), first]
             yield pd.DataFrame({"key": batch["key"], "lang_pred": names[best], "score": posterior})
 
     return score

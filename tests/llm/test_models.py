@@ -94,6 +94,27 @@ def test_scores_match_plain_naive_bayes(spark):
     assert (ratio == (counts[0] > counts[1])[seen])[(counts[0] != counts[1])[seen]].all()
 
 
+def test_a_rare_language_is_predicted_as_by_plain_naive_bayes(spark):
+    rng = np.random.default_rng(6)
+    often = {"hot": np.full(8, 1 / 8), "rare": np.repeat([1.3, 0.7], 4) / 8}
+    text = lambda lang, n: "".join(rng.choice(list("abcdefgh"), n, p=often[lang]))
+    rows = [(i, text("hot", 100), "hot") for i in range(400)] + [(400, text("rare", 30_000), "rare")]
+    model = language_nb.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [text("rare", 600) for _ in range(30)] + [text("hot", 600) for _ in range(30)]
+    plain = []
+    for t in texts:
+        points, _ = language_nb._code_points([t])
+        total = model.log_prior.copy()
+        for order in language_nb.ORDERS:
+            total += model.log_likelihood[language_nb._grams(points, order, language_nb.BUCKETS)].sum(axis=0, dtype=float)
+        plain.append(model.languages[total.argmax()])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in language_nb.predict(docs, model).collect()}
+    assert plain == ["rare"] * 30 + ["hot"] * 30
+    assert [found[i].lang_pred for i in range(60)] == plain
+    assert all(0 <= r.score <= 1 for r in found.values())
+
+
 # SentencePiece.
 
 
