@@ -256,12 +256,13 @@ def search(
                 q = np.asarray(row.q_values, dtype=float).reshape(len(q_ids), width)
                 rough = _squares(q, b)
                 least = np.minimum.reduceat(rough, begins, axis=1)
+                # Rounding of the fast distances is far below this slack.
+                slack = 1e-12 * width * ((q * q).sum(1) + (b * b).sum(1).max())
                 out = []
                 for i, own in enumerate(q_ids):
-                    # Rounding of the fast distances is far below this slack.
                     others = names != own
                     limit = np.partition(least[i][others], k - 1)[k - 1] if others.sum() > k else np.inf
-                    near = np.flatnonzero((ids != own) & (rough[i] <= limit + 1e-9 * (1 + abs(limit))))
+                    near = np.flatnonzero((ids != own) & (rough[i] <= limit + slack[i]))
                     exact = np.sqrt(((b[near] - q[i]) ** 2).sum(1))
                     top = np.lexsort((ids[near], exact))
                     top = top[np.sort(np.unique(ids[near][top], return_index=True)[1])][:k]

@@ -282,6 +282,19 @@ def test_repeated_rows_of_a_key_take_one_place(spark):
     assert len(found[0]) == 10 and 1 in found[0]
 
 
+def test_near_copies_of_long_vectors_are_told_apart(spark):
+    rng = np.random.default_rng(8)
+    x = 1e5 * rng.normal(size=16) + 1e-3 * rng.normal(size=(300, 16))
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = posting_lists.build(vectors, centroids=1)
+    found = posting_lists.search(index, vectors, vectors.vec_id < 20).collect()
+    for q in range(20):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        order = [i for i in np.lexsort((np.arange(300), d)) if i != q][:10]
+        assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == order
+
+
 # Near copies.
 
 
