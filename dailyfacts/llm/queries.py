@@ -13,10 +13,13 @@ from dailyfacts.llm import (
     hilbert_shards,
     language_nb,
     partenum,
+    periodic_runs,
     piece_codec,
     posting_lists,
     quality_fm,
     rule_ledger,
+    simhash_trie,
+    slice_codes,
     source_mix,
     url_rules,
 )
@@ -173,3 +176,73 @@ def op4_partenum(spark, sf_dir):
 def op3_piece_codec(spark, sf_dir):
     """Piece ids of every document, and whether they decode to its text."""
     return piece_codec.encode(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+def _codes_sql() -> str:
+    """Four rounds over four codebooks, one statement after the other."""
+    width = "len(v) // 4"
+    steps = [f"""
+with kept as materialized (
+  select vec_id, label, [cast(floor(1024 * x::double) as bigint) for x in embedding] as v
+  from embeddings where embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+),
+parts as materialized (
+  select vec_id, p, v[p * ({width}) + 1 : (p + 1) * ({width})] as w from kept, range(4) as r(p)
+),
+book0 as materialized (
+  select p, row_number() over (partition by p order by vec_id) - 1 as e, w as c from parts
+  qualify row_number() over (partition by p order by vec_id) <= 256
+)"""]
+    for i in range(slice_codes.ROUNDS + 1):
+        steps.append(f"""
+near{i} as materialized (
+  select vec_id, p, any_value(w) as w, min(d * 256 + e) as best from (
+    select vec_id, p, w, e,
+      list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(w, c)])::bigint as d
+    from parts join book{i} using (p)
+  ) group by vec_id, p
+)""")
+        if i < slice_codes.ROUNDS:
+            steps.append(f"""
+book{i + 1} as materialized (
+  select p, e, coalesce(m.c, b.c) as c from book{i} b left join (
+    select p, e, list((s - ((s % n) + n) % n) // n order by i) as c from (
+      select p, best % 256 as e, i, sum(w[i])::bigint as s, count(*) as n
+      from near{i}, range(1, 1 + (select max(len(w)) from parts)) as r(i) where i <= len(w) group by all
+    ) group by p, e
+  ) m using (p, e)
+)""")
+    last = slice_codes.ROUNDS
+    steps.append(f"""
+coded as materialized (
+  select vec_id, label, string_agg(printf('%02x', best % 256), '' order by p) as code,
+    sum(best // 256)::bigint as error
+  from near{last} join kept using (vec_id) group by vec_id, label
+),
+digest as (
+  select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) as codebooks_sha256 from book{last}
+)""")
+    return ",".join(steps) + """
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded, digest
+"""
+
+
+@query(_codes_sql())
+def op11_slice_codes(spark, sf_dir):
+    """Codes of all vectors under codebooks of all vectors."""
+    return slice_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of every document, with planted tails, and its words without repeated roots."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"), h=h)
+
+
+@query()
+def op13_simhash_trie(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    return simhash_trie.simhash_groups(table(spark, sf_dir, "documents"))

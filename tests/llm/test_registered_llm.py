@@ -15,6 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 NAMES = [
     "op1_url_rules", "op2_quality_fm", "op3_piece_codec", "op4_partenum", "op5_posting_lists",
     "op6_arrow_sequences", "op7_rule_ledger", "op8_language_nb", "op9_source_mix", "op10_hilbert_shards",
+    "op11_slice_codes", "op12_periodic_runs", "op13_simhash_trie",
 ]
 
 
