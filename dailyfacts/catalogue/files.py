@@ -8,10 +8,13 @@ from dailyfacts.catalogue.raw import (
     CASES_SQL,
     FLIGHT_ROWS_SQL,
     lookup_file,
+    BROKEN_FIELDS,
+    raw_broken_flights,
     raw_case_lines,
     raw_cases,
     raw_flights,
     raw_lookups,
+    raw_split_document,
 )
 from dailyfacts.catalogue.registry import query, table
 from dailyfacts.operators.aggregates import null_profile
@@ -20,9 +23,12 @@ from dailyfacts.operators.layout import range_layout
 from dailyfacts.operators.writes import write_by_month
 from dailyfacts.plans import cases, flights
 from dailyfacts.plans.cases import model_cases, model_records
+from dailyfacts.plans.flights import rejected_fields
+from dailyfacts.schemas import FLIGHT_FILE_COLUMNS
 from dailyfacts.session import scratch_path
 from dailyfacts.sources import (
     read_case_documents,
+    read_case_records,
     read_csv_inferred,
     read_flight_files,
     read_json_inferred,
@@ -105,6 +111,26 @@ def json_explode_model(spark, sf_dir):
     return read_case_documents(spark, path).transform(explode_records).transform(model_records)
 
 
+@query(f"select *, year as _year, month as _month from ({CASES_SQL.replace('distinct ', '')})")
+def json_split_document(spark, sf_dir):
+    """The same rows from one document of all cases, which many tasks parse."""
+    path = f"{raw_split_document(spark, sf_dir)}/{cases.INPUT}"
+    return read_case_records(spark, path).transform(model_records)
+
+
+_TYPED = [name for name, kind in FLIGHT_FILE_COLUMNS if kind != "string"]
+
+
+@query(" union all ".join(
+    f"""select '{name}' as "column", count(*) as rejected from lineitem where {BROKEN_FIELDS.get(name, ["false"])[0]}"""
+    for name in _TYPED
+))
+def csv_rejects(spark, sf_dir):
+    """Fields of raw flight files that did not parse, counted for each typed column."""
+    path = f"{raw_broken_flights(spark, sf_dir)}/{flights.INPUT}"
+    return rejected_fields(read_flight_files(spark, path, raw_line=True))
+
+
 @query(f"select *, year as _year, month as _month from ({CASES_SQL})")
 def json_lines_model(spark, sf_dir):
     """The same model from splittable JSON lines, deduplicated."""

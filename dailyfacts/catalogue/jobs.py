@@ -3,32 +3,44 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dailyfacts.catalogue.raw import (
     CASES_SQL,
     FLIGHT_ROWS_SQL,
     FLIGHTS_SQL,
+    LOOKUP_ORIGINS,
     lookup_file,
+    raw_case_lines,
     raw_cases,
     raw_flights,
     raw_lookups,
+    raw_split_document,
+    write_flight_files,
 )
-from dailyfacts.catalogue.registry import query
+from dailyfacts.catalogue.registry import query, table
 from dailyfacts.catalogue.tables import scratch_database
+from dailyfacts.functions import flag_to_int
 from dailyfacts.operators.columns import lower_names
 from dailyfacts.operators.joins import only_months_of
+from dailyfacts.operators.publish import publish_after
 from dailyfacts.plans import cases, flights
 from dailyfacts.plans.daily import (
     country_days,
+    daily_impact_by_day,
     days_with_departures,
     refresh_departures,
+    store_by_day,
     store_departures,
 )
 from dailyfacts.plans.describe import describe_flights
-from dailyfacts.plans.reload import reload_all
+from dailyfacts.plans.reload import load_tables, reload_all
 from dailyfacts.schemas import CASES, FLIGHTS, LOOKUPS
 from dailyfacts.session import scratch_path
-from dailyfacts.sources import read_flight_files, read_lookup_file, read_model
+from dailyfacts.sources import read_flight_files, read_lookup_file, read_model, read_table
 
 COUNTRY = "5-LOW"
 
@@ -109,3 +121,88 @@ def described_flights(spark, sf_dir):
     rows = read_flight_files(spark, f"{raw_flights(spark, sf_dir)}/{flights.INPUT}")
     coded = lower_names(rows).select("fl_date", "tail_num", *_CODES)
     return describe_flights(coded, lookups, _CODES)
+
+
+@query(f"select *, year as _year, month as _month from ({CASES_SQL})")
+def case_lines_job(spark, sf_dir):
+    """The case job from documents of one line each."""
+    path = scratch_path(spark, "case-lines-job")
+    cases.load_cases(spark, raw_case_lines(spark, sf_dir), path, multi_line=False)
+    return read_model(spark, f"{path}/{cases.OUTPUT}", CASES, keep_partitions=True)
+
+
+@query(f"select *, year as _year, month as _month from ({CASES_SQL})")
+def case_split_job(spark, sf_dir):
+    """The case job from one document of all cases, parsed by many tasks."""
+    path = scratch_path(spark, "case-split-job")
+    cases.load_cases(spark, raw_split_document(spark, sf_dir), path, split=True)
+    return read_model(spark, f"{path}/{cases.OUTPUT}", CASES, keep_partitions=True)
+
+
+@query(f"""
+select *, year as _year, month as _month from (
+  select distinct * replace (case when fl_date >= date '1998-06-01' then 'ZZ' else tail_num end as tail_num)
+  from ({FLIGHTS_SQL})
+)
+""")
+def month_refresh_job(spark, sf_dir):
+    """The flights job twice; the second time only the months with other rows are written."""
+    path, changed = scratch_path(spark, "refresh"), scratch_path(spark, "changed-flights")
+    flights.load_flights(spark, raw_flights(spark, sf_dir), path, replace="changed")
+    late = F.col("l_shipdate").cast("date") >= date(1998, 6, 1)
+    write_flight_files(
+        table(spark, sf_dir, "lineitem"), changed, {"tail_num": lambda tail: F.when(late, "ZZ").otherwise(tail)}
+    )
+    flights.load_flights(spark, changed, path, replace="changed")
+    return read_model(spark, f"{path}/{flights.OUTPUT}", FLIGHTS, keep_partitions=True)
+
+
+@query("""
+with days as (
+  select cast(o_orderdate as date) as daterep, o_orderstatus as country,
+    cast(trunc(o_totalprice) as integer) as cases, cast(o_custkey % 100000 as integer) as deaths
+  from orders where o_orderstatus = 'F' group by 1, 2, 3, 4
+), counts as (
+  select l_returnflag as origin, cast(l_shipdate as date) as fl_date, count(l_returnflag) as num
+  from lineitem group by 1, 2
+)
+select * from days join counts on daterep = fl_date order by daterep desc
+""")
+def bucketed_departures(spark, sf_dir):
+    """The daily question from two stored tables with the same buckets of days."""
+    database = scratch_database(spark)
+    reports = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").cast("date").alias("daterep"), F.col("o_orderstatus").alias("country"),
+        flag_to_int(F.col("o_totalprice")).alias("cases"), (F.col("o_custkey") % 100000).cast("int").alias("deaths"),
+    )
+    departed = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("origin"), F.col("l_shipdate").cast("date").alias("fl_date")
+    )
+    store_by_day(spark, reports, departed, 8, database)
+    return daily_impact_by_day(spark, "F", database)
+
+
+_LOOKUPS_SQL = " union all ".join(
+    f"""select '{name}' as lookup, cast({code} as string) as code,
+      concat({description}, ', "', cast({code} as string), '"') as description from {origin}"""
+    for name, (origin, code, description) in LOOKUP_ORIGINS.items()
+)
+
+
+@query(_LOOKUPS_SQL)
+def loaded_lookups(spark, sf_dir):
+    """All seven lookup tables, as the reload fills them from their files."""
+    database, raw = scratch_database(spark), raw_lookups(spark, sf_dir)
+    path = scratch_path(spark, "lookups-model")
+    cases.load_cases(spark, raw_cases(spark, sf_dir), path)
+    flights.load_flights(spark, raw_flights(spark, sf_dir), path)
+
+    def fill(into):
+        load_tables(spark, raw, path, database, into=into)
+
+    publish_after(spark, [CASES, FLIGHTS, *LOOKUPS.values()], fill, database)
+    loaded = [
+        read_table(spark, spec, database).select(F.lit(name).alias("lookup"), "code", "description")
+        for name, spec in LOOKUPS.items()
+    ]
+    return reduce(DataFrame.union, loaded)

@@ -6,10 +6,11 @@ lookups. Everything is written by Spark, row for row, so the files grow with the
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from threading import Lock
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailyfacts.catalogue.registry import table
@@ -77,13 +78,20 @@ from orders
 """
 
 
-def flight_rows(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(*[F.expr(value).alias(n.upper()) for n, value in FLIGHT_VALUES.items()])
+def flight_rows(
+    lineitem: DataFrame, change: Mapping[str, Callable[[Column], Column]] | None = None
+) -> DataFrame:
+    """Raw flight rows; ``change`` maps columns to functions of their values."""
+    values = {n: F.expr(value) for n, value in FLIGHT_VALUES.items()}
+    values |= {n: changed(values[n]) for n, changed in (change or {}).items()}
+    return lineitem.select(*[value.alias(n.upper()) for n, value in values.items()])
 
 
-def write_flight_files(lineitem: DataFrame, input_path: str) -> str:
+def write_flight_files(
+    lineitem: DataFrame, input_path: str, change: Mapping[str, Callable[[Column], Column]] | None = None
+) -> str:
     """Flight rows, each of them twice, as headered CSV."""
-    rows = flight_rows(lineitem)
+    rows = flight_rows(lineitem, change)
     path = f"{input_path}/{flights.INPUT.replace('*', '0')}"
     rows.union(rows).write.csv(path, header=True)
     return path
@@ -125,6 +133,37 @@ def write_case_lines(orders: DataFrame, input_path: str) -> str:
     return path
 
 
+def write_split_document(orders: DataFrame, input_path: str) -> str:
+    """All case records as one document in one file, which one task writes line by line."""
+    path = f"{input_path}/{cases.INPUT}"
+    records = case_records(orders).select(F.to_json("record").alias("value"))
+    # The first line is the one with number 0 of the one task.
+    comma = F.when(F.monotonically_increasing_id() > 0, ",").otherwise('{"records": [')
+    lines = records.coalesce(1).select(F.concat(comma, "value").alias("value"), F.lit(0).alias("part"))
+    end = orders.sparkSession.range(1).select(F.lit("]}").alias("value"), F.lit(1).alias("part"))
+    lines.union(end).coalesce(1).sortWithinPartitions("part").select("value").write.text(path)
+    return path
+
+
+# Rows whose fields do not parse, and the text that stands there.
+BROKEN_FIELDS = {
+    "fl_date": ("l_linenumber = 3", "1996-13-45"),
+    "origin_airport_id": ("l_linenumber = 5", "A12"),
+    "dep_delay": ("l_quantity >= 49", "late"),
+}
+
+
+def write_broken_flight_files(lineitem: DataFrame, input_path: str) -> str:
+    """Flight rows in which some fields do not parse."""
+    change = {
+        name: lambda value, where=where, text=text: F.when(F.expr(where), text).otherwise(value.cast("string"))
+        for name, (where, text) in BROKEN_FIELDS.items()
+    }
+    path = f"{input_path}/{flights.INPUT.replace('*', '0')}"
+    flight_rows(lineitem, change).write.csv(path, header=True)
+    return path
+
+
 def lookup_rows(df: DataFrame, code: str, description: str) -> DataFrame:
     """``code, description`` with commas and quotes inside the description."""
     return df.select(
@@ -158,6 +197,8 @@ def _write_lookups(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 # Folders already written: (application, table folder, kind) -> (path, bytes).
 _written: dict[tuple[str, str, str], tuple[str, int]] = {}
+_locks: dict[tuple[str, str, str], Lock] = {}
+_lock = Lock()
 
 
 def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], object]) -> str:
@@ -166,16 +207,19 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], ob
     It is written again when its files are no longer all there.
     """
     key = (spark.sparkContext.applicationId, sf_dir, kind)
-    path, size = _written.get(key, ("", 0))
-    try:
-        if path and input_bytes(spark, path) == size:
-            return path
-    except AnalysisException:
-        pass
-    path = scratch_path(spark, kind)
-    write(path)
-    _written[key] = (path, input_bytes(spark, path))
-    return path
+    with _lock:
+        own = _locks.setdefault(key, Lock())
+    with own:
+        path, size = _written.get(key, ("", 0))
+        try:
+            if path and input_bytes(spark, path) == size:
+                return path
+        except AnalysisException:
+            pass
+        path = scratch_path(spark, kind)
+        write(path)
+        _written[key] = (path, input_bytes(spark, path))
+        return path
 
 
 def raw_cases(spark: SparkSession, sf_dir: str) -> str:
@@ -190,6 +234,18 @@ def raw_case_lines(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "case-lines", lambda path: write_case_lines(orders, path))
 
 
+def raw_split_document(spark: SparkSession, sf_dir: str) -> str:
+    """Input folder with one document of all cases."""
+    orders = table(spark, sf_dir, "orders")
+    return _once(spark, sf_dir, "split-document", lambda path: write_split_document(orders, path))
+
+
+def raw_broken_flights(spark: SparkSession, sf_dir: str) -> str:
+    """Input folder with flight files in which some fields do not parse."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    return _once(spark, sf_dir, "broken-flights", lambda path: write_broken_flight_files(lineitem, path))
+
+
 def raw_flights(spark: SparkSession, sf_dir: str) -> str:
     """Input folder with the flight files."""
     lineitem = table(spark, sf_dir, "lineitem")

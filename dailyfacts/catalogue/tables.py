@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from dailyfacts.catalogue.registry import query, table
 from dailyfacts.operators.quality import (
+    QualityError,
     Rule,
     check_rules,
     enforce,
@@ -16,7 +18,14 @@ from dailyfacts.operators.quality import (
     null_rule,
     rule_counts,
 )
-from dailyfacts.operators.tables import create_table, drop_table, load_table, split_required
+from dailyfacts.operators.publish import publish_after, shown_table
+from dailyfacts.operators.tables import (
+    create_table,
+    drop_table,
+    load_table,
+    read_range,
+    split_required,
+)
 from dailyfacts.schemas import TableSpec
 from dailyfacts.session import scratch_path
 from dailyfacts.sources import read_table
@@ -135,3 +144,61 @@ def scalar_expectation(spark, sf_dir):
     rules = [null_rule(["o_orderkey"]), null_rule(["o_custkey"])]
     enforce("orders", check_rules(orders, rules))
     return orders.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("keys"))
+
+
+@query(f"select * from ({_ORDERS_SQL}) where o_orderpriority between '2-HIGH' and '3-MEDIUM'")
+def sorted_table_load(spark, sf_dir):
+    """A range of the sort key, read from the files that may hold it."""
+    database = scratch_database(spark)
+    create_table(spark, ORDERS, database)
+    load_table(spark, ORDERS, _orders(spark, sf_dir), database)
+    return read_range(spark, ORDERS, "o_orderpriority", "2-HIGH", "3-MEDIUM", database)
+
+
+@query(f"""
+select * replace (case when year >= 2000 then 'R' else o_orderstatus end as o_orderstatus) from ({_ORDERS_SQL})
+""")
+def staged_reload(spark, sf_dir):
+    """Three loads: a good one, one that the gate stops and nobody sees, one with changed rows."""
+    database = scratch_database(spark)
+    orders = _orders(spark, sf_dir)
+
+    def publish(rows):
+        def fill(into):
+            rules = [null_rule(ORDERS.gate), null_rule(["o_orderpriority"])]
+            enforce(ORDERS.name, load_table(spark, into(ORDERS), rows, database, rules))
+
+        return publish_after(spark, [ORDERS], fill, database)
+
+    first = publish(orders)
+    try:
+        publish(orders.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW"))))
+    except QualityError:
+        pass
+    if not shown_table(spark, ORDERS, database).name.endswith(first):
+        raise QualityError("a load that failed its gate is shown")
+    changed = F.when(F.col("year") >= 2000, "R").otherwise(F.col("o_orderstatus"))
+    publish(orders.withColumn("o_orderstatus", changed))
+    return read_table(spark, ORDERS, database)
+
+
+@query("""
+select 'o_orderstatus is null or o_orderpriority is null' as rule, count(*) as bad_rows
+from orders where o_orderstatus = 'F' or o_orderpriority = '5-LOW'
+union all
+select 'o_orderkey is null', count(*) from orders where o_orderkey is null
+union all
+select 'dear', count(*) from orders where o_totalprice > 100000
+""")
+def observed_gate(spark, sf_dir):
+    """Rules counted while a table is loaded, without a scan of the table."""
+    database = scratch_database(spark)
+    spec = replace(ORDERS, required=(), sort_by=())
+    create_table(spark, spec, database)
+    rules = [
+        null_rule(["o_orderstatus", "o_orderpriority"]),
+        null_rule(["o_orderkey"]),
+        Rule("dear", F.col("o_totalprice") > 100_000),
+    ]
+    results = load_table(spark, spec, _orders_with_nulls(spark, sf_dir), database, rules)
+    return spark.createDataFrame([(r.rule, r.actual) for r in results], "rule string, bad_rows long")

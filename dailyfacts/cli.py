@@ -14,7 +14,7 @@ from dailyfacts.plans.cases import load_cases
 from dailyfacts.plans.daily import refresh_departures
 from dailyfacts.plans.flights import load_flights
 from dailyfacts.plans.reload import reload_all
-from dailyfacts.session import build_session, size_for_input
+from dailyfacts.session import build_session
 
 
 def _options(args: argparse.Namespace) -> tuple[dict, dict]:
@@ -22,7 +22,8 @@ def _options(args: argparse.Namespace) -> tuple[dict, dict]:
     both = {"replace": args.replace}
     if args.cluster_by:
         both["cluster_by"] = args.cluster_by
-    return {**both, "multi_line": not args.json_lines}, {**both, "check_header": not args.any_header}
+    case_options = {**both, "multi_line": not args.json_lines, "split": args.split_documents}
+    return case_options, {**both, "check_header": not args.any_header}
 
 
 def covid_job(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -38,7 +39,7 @@ def reload_job(spark: SparkSession, args: argparse.Namespace) -> None:
     case_options, flight_options = _options(args)
     answer = reload_all(
         spark, args.input_data, args.output_data,
-        case_options=case_options, flight_options=flight_options,
+        case_options=case_options, flight_options=flight_options, in_place=args.in_place,
     )
     answer.write.mode("overwrite").parquet(f"{args.output_data}/daily_impact.parquet")
 
@@ -63,9 +64,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     parser.add_argument("--job", required=True, choices=sorted(JOBS), help="job to run")
     parser.add_argument("--input-data", required=True, help="folder of the raw files")
     parser.add_argument("--output-data", required=True, help="folder to write to")
-    parser.add_argument("--json-lines", action="store_true", help="each line is a document; files are split")
+    form = parser.add_mutually_exclusive_group()
+    form.add_argument("--json-lines", action="store_true", help="each line is a document; files are split")
+    form.add_argument("--split-documents", action="store_true", help="many tasks parse one large document")
     parser.add_argument("--any-header", action="store_true", help="do not compare flight headers")
-    parser.add_argument("--replace", choices=["all", "months"], default="all", help="what to overwrite")
+    parser.add_argument("--replace", choices=["all", "months", "changed"], default="all", help="what to overwrite")
+    parser.add_argument("--in-place", action="store_true", help="reload drops the old tables first")
     parser.add_argument("--cluster-by", nargs="+", help="columns to bring together for the write")
     parser.add_argument("--since", type=date.fromisoformat, help="first day of refresh_departures")
     args = parser.parse_args(argv)
@@ -74,5 +78,4 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     print(f"job {args.job}, input {args.input_data}, output {args.output_data}")
     with timed(JobReport(f"{args.job} with session start")):
         spark = spark or build_session()
-        size_for_input(spark, args.input_data)
         JOBS[args.job](spark, args)

@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 class JobReport:
     """What a job did. ``rejects`` counts input values lost by lenient parsing.
 
+    ``months`` is the number of months written, where only changed ones are.
+
     The counts are observed while the job writes; they describe the run and decide
     nothing, since a task that runs twice may be counted twice.
     """
@@ -19,6 +21,7 @@ class JobReport:
     job: str
     seconds: float = 0.0
     rows_read: int = 0
+    months: int | None = None
     rejects: dict[str, int] = field(default_factory=dict)
 
 

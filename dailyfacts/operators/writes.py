@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from dailyfacts.operators.digests import changed_months, record_digests
 from dailyfacts.operators.layout import cluster_for_write
 from dailyfacts.schemas import MONTH_PARTITIONS
 
@@ -16,14 +17,18 @@ def write_by_month(
     *,
     replace: str = "all",
     cluster_by: Sequence[str] = MONTH_PARTITIONS,
-) -> None:
+) -> int | None:
     """Overwrite the dataset at ``path``, partitioned by ``_year, _month``.
 
     ``replace="all"`` removes every old partition. ``replace="months"`` removes only
-    the months present in ``df``, for loads of the last days. Rows without a date go
+    the months present in ``df``, for loads of the last days. ``replace="changed"`` of these
+    writes only the months whose rows are others than those written before, and returns
+    their number: the files of the other months stay as they are. Rows without a date go
     to the default partition. An empty ``cluster_by`` skips the extra shuffle and
     leaves one file per task and month.
     """
+    if replace == "changed":
+        return _write_changed(df, path, cluster_by)
     modes = {"all": "static", "months": "dynamic"}
     rows = cluster_for_write(df, *cluster_by) if cluster_by else df
     (
@@ -32,3 +37,12 @@ def write_by_month(
         .option("partitionOverwriteMode", modes[replace])
         .parquet(path)
     )
+
+
+def _write_changed(df: DataFrame, path: str, cluster_by: Sequence[str]) -> int:
+    rows, months = changed_months(df, path)
+    n = months.count()
+    if n:
+        write_by_month(rows, path, replace="months", cluster_by=cluster_by)
+        record_digests(months, path)
+    return n

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from dailyfacts.operators.columns import add_month_partitions, explode_records,
 from dailyfacts.operators.report import JobReport, timed
 from dailyfacts.operators.writes import write_by_month
 from dailyfacts.schemas import MONTH_PARTITIONS
-from dailyfacts.sources import read_case_documents
+from dailyfacts.session import sized_for
+from dailyfacts.sources import read_case_documents, read_case_records
 
 JOB = "load_covid"
 INPUT = "covid19/download.json"
@@ -94,24 +96,31 @@ def load_cases(
     output_path: str,
     *,
     multi_line: bool = True,
+    split: bool = False,
     cluster_by: Sequence[str] = MONTH_PARTITIONS,
     replace: str = "all",
+    sized: bool = True,
 ) -> JobReport:
     """Read ``{input}/covid19/download.json``, write ``{output}/covid_parquet/covid.parquet``.
 
-    With ``replace="months"`` the input need only hold the months to be replaced, whole.
+    With ``replace="months"`` or ``"changed"`` the input need only hold the months to be
+    replaced, whole. With ``split`` each document is parsed by many tasks. The shuffle is sized
+    for the job's own files unless the caller has done so.
     """
-    with timed(JobReport(JOB)) as report:
+    source = f"{input_path}/{INPUT}"
+    with timed(JobReport(JOB)) as report, sized_for(spark, source) if sized else nullcontext():
         seen = Observation()
-        documents = read_case_documents(spark, f"{input_path}/{INPUT}", multi_line=multi_line)
-        if documents.transform(explode_records).isEmpty():
+        if split:
+            records = read_case_records(spark, source)
+        else:
+            records = read_case_documents(spark, source, multi_line=multi_line).transform(explode_records)
+        if records.isEmpty():
             # Before anything old is removed.
-            raise ValueError(f"{input_path}/{INPUT} holds no record; nothing was written")
-        parsed = documents.transform(explode_records).transform(parse_records)
-        model = finish_model(_observe_rejects(parsed, seen))
+            raise ValueError(f"{source} holds no record; nothing was written")
+        model = finish_model(_observe_rejects(records.transform(parse_records), seen))
         model.printSchema()
         path = f"{output_path}/{OUTPUT}"
-        write_by_month(model, path, cluster_by=cluster_by, replace=replace)
+        report.months = write_by_month(model, path, cluster_by=cluster_by, replace=replace)
         counts = dict(seen.get)
         report.rows_read = counts.pop("rows")
         report.rejects = counts

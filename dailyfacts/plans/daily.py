@@ -11,13 +11,21 @@ from dailyfacts.operators.aggregates import distinct_rows, grouped_count
 from dailyfacts.operators.columns import add_month_partitions
 from dailyfacts.operators.joins import join_on_day, only_months_of
 from dailyfacts.operators.writes import write_by_month
-from dailyfacts.schemas import FLIGHTS
-from dailyfacts.sources import read_model
+from dailyfacts.schemas import CASES, FLIGHTS, TableSpec
+from dailyfacts.sources import read_model, read_table
+from dailyfacts.sources.tables import qualified
 
 COUNTRY = "United_States_of_America"
 COLUMNS = ["daterep", "country", "cases", "deaths", "origin", "fl_date", "num"]
 
 
+# Stored sides of the daily question, bucketed by the day that they are joined on.
+DEPARTURES = TableSpec("departures_by_day", (("origin", "string"), ("fl_date", "date"), ("num", "bigint")))
+CASE_DAYS = TableSpec(
+    "cases_by_day", tuple((name, kind) for name, kind in CASES.columns if name in ("daterep", "country", "cases", "deaths"))
+)
+
+
 def country_days(cases: DataFrame, country: str) -> DataFrame:
     """Distinct ``daterep, country, cases, deaths`` of one country.
 
@@ -75,3 +83,34 @@ def refresh_departures(spark: SparkSession, flights_path: str, path: str, since:
     first = since.year * 12 + since.month
     recent = flights.where(F.col("_year") * 12 + F.col("_month") >= first)
     store_departures(recent, path, replace="months")
+
+
+def _store_buckets(df: DataFrame, spec: TableSpec, day: str, buckets: int, database: str | None) -> None:
+    """Overwrite a table of one sorted file for each bucket of days.
+
+    Days are hashed by the shuffle as they are by the buckets, so each task writes one file.
+    """
+    rows = df.select(*spec.column_names).repartition(buckets, day)
+    (
+        rows.write.format("parquet").mode("overwrite").bucketBy(buckets, day).sortBy(day)
+        .saveAsTable(qualified(spec, database))
+    )
+
+
+def store_by_day(
+    spark: SparkSession, cases: DataFrame, flights: DataFrame, buckets: int, database: str | None = None
+) -> None:
+    """Keep both sides of the daily question in tables that are joined without a shuffle.
+
+    Both are aggregated: a day has one row for each origin, or each distinct report, so that
+    no bucket is large for the sake of one day. ``buckets`` should make files of some 100 MB.
+    """
+    _store_buckets(departures(flights), DEPARTURES, "fl_date", buckets, database)
+    days = distinct_rows(cases, "daterep", "country", "cases", "deaths")
+    _store_buckets(days, CASE_DAYS, "daterep", buckets, database)
+
+
+def daily_impact_by_day(spark: SparkSession, country: str = COUNTRY, database: str | None = None) -> DataFrame:
+    """The daily question from the stored tables; only the sort of the answer shuffles."""
+    days = read_table(spark, CASE_DAYS, database).where(F.col("country") == country)
+    return days_with_departures(days, read_table(spark, DEPARTURES, database))

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dailyfacts.functions import flag_to_int, month_of, year_of
+from dailyfacts.functions import flag_to_int, month_of, rejected, year_of
 from dailyfacts.operators.aggregates import dedupe
 from dailyfacts.operators.columns import add_month_partitions, lower_names
 from dailyfacts.operators.report import JobReport, timed
 from dailyfacts.operators.writes import write_by_month
-from dailyfacts.schemas import MONTH_PARTITIONS
+from dailyfacts.schemas import FLIGHT_FILE_COLUMNS, MONTH_PARTITIONS, ddl
+from dailyfacts.session import sized_for
 from dailyfacts.sources import read_flight_files
+from dailyfacts.sources.files import RAW_LINE
 
 JOB = "load_flights"
 # The pattern keeps the lookup files of the same folder out of the scan.
@@ -35,6 +38,34 @@ def model_flights(rows: DataFrame) -> DataFrame:
     return dated.transform(add_month_partitions)
 
 
+def _lost_fields(rows: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows, and for each typed column whether its field was not blank and did not parse.
+
+    Only lines with such a field are parsed again, as text.
+    """
+    names = [(name.upper(), "string") for name, _ in FLIGHT_FILE_COLUMNS]
+    texts = rows.withColumn("_fields", F.from_csv(RAW_LINE, ddl(names)))
+    typed = [name for name, kind in FLIGHT_FILE_COLUMNS if kind != "string"]
+    lost = {n: rejected(F.col(f"_fields.{n.upper()}"), F.col(n.upper())) for n in typed}
+    return texts, lost
+
+
+def rejected_fields(rows: DataFrame) -> DataFrame:
+    """``column, rejected`` for each typed column of rows that were read with their raw lines."""
+    texts, lost = _lost_fields(rows)
+    counts = texts.agg(*[F.count_if(bad).alias(name) for name, bad in lost.items()])
+    lines = [F.struct(F.lit(n).alias("column"), F.col(n).alias("rejected")) for n in lost]
+    return counts.select(F.inline(F.array(*lines)))
+
+
+def _observe_rejects(rows: DataFrame, seen: Observation) -> DataFrame:
+    texts, lost = _lost_fields(rows)
+    counted = texts.observe(
+        seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(bad).alias(n) for n, bad in lost.items()]
+    )
+    return counted.drop(RAW_LINE, "_fields")
+
+
 def load_flights(
     spark: SparkSession,
     input_path: str,
@@ -43,15 +74,23 @@ def load_flights(
     check_header: bool = True,
     cluster_by: Sequence[str] = MONTH_PARTITIONS,
     replace: str = "all",
+    sized: bool = True,
 ) -> JobReport:
     """Read ``{input}/flights/flights_*_*.csv``, write ``{output}/flights_parquet/flights.parquet``.
 
-    With ``replace="months"`` the input need only hold the months to be replaced, whole.
+    With ``replace="months"`` or ``"changed"`` the input need only hold the months to be
+    replaced, whole. The shuffle is sized for the job's own files unless the caller has done
+    so. Fields that did not parse are counted in the same pass.
     """
-    with timed(JobReport(JOB)) as report:
-        rows = read_flight_files(spark, f"{input_path}/{INPUT}", check_header=check_header)
-        model = model_flights(rows)
+    source = f"{input_path}/{INPUT}"
+    with timed(JobReport(JOB)) as report, sized_for(spark, source) if sized else nullcontext():
+        seen = Observation()
+        rows = read_flight_files(spark, source, check_header=check_header, raw_line=True)
+        model = model_flights(_observe_rejects(rows, seen))
         model.printSchema()
         path = f"{output_path}/{OUTPUT}"
-        write_by_month(model, path, cluster_by=cluster_by, replace=replace)
+        report.months = write_by_month(model, path, cluster_by=cluster_by, replace=replace)
+        counts = dict(seen.get)
+        report.rows_read = counts.pop("rows")
+        report.rejects = counts
     return report

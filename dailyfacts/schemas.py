@@ -151,6 +151,12 @@ class TableSpec:
     sort_by: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     gate: tuple[str, ...] = ()
+    label: str = ""
+
+    @property
+    def title(self) -> str:
+        """The name that messages use: that of readers, for a table of one load."""
+        return self.label or self.name
 
     @property
     def column_names(self) -> list[str]:

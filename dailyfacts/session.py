@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import SparkSession
@@ -69,14 +71,38 @@ def size_for_input(
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
 
 
+_SIZES = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+
+
+@contextmanager
+def sized_for(spark: SparkSession, paths: str | Sequence[str], **limits: int) -> Iterator[None]:
+    """Sizes for the files at ``paths`` within a block; the session's own are put back after it.
+
+    Settings hold for a whole session: jobs that run at once share one block.
+    """
+    before = {key: value for key, value in spark.conf.getAll.items() if key in _SIZES}
+    size_for_input(spark, paths, **limits)
+    try:
+        yield
+    finally:
+        for key in _SIZES:
+            if key in before:
+                spark.conf.set(key, before[key])
+            else:
+                spark.conf.unset(key)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared scratch folder.
 
     The folder comes from ``spark.checkpoint.dir``, else from the context's checkpoint
-    folder, else from the warehouse, which executors share as well.
+    folder, else from the warehouse. A warehouse on the driver's own disk, as the default
+    is, is refused on a cluster: executors would each write to theirs.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         set_before = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = set_before.get() if set_before.isDefined() else spark.conf.get("spark.sql.warehouse.dir")
+        if not set_before.isDefined() and base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{base} is no shared folder: set spark.checkpoint.dir to one")
     return f"{base.rstrip('/')}/dailyfacts-{label}-{uuid.uuid4().hex}"

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from dailyfacts.schemas import (
@@ -30,20 +34,61 @@ def read_case_documents(spark: SparkSession, path, *, multi_line: bool = True) -
     )
 
 
-def read_flight_files(spark: SparkSession, path, *, check_header: bool = True) -> DataFrame:
+#: Column with the line of a row in which a field did not parse.
+RAW_LINE = "_raw"
+
+
+class SurplusColumn(ValueError):
+    """A file has a named column that the schema does not know."""
+
+
+def file_paths(spark: SparkSession, path) -> list[str]:
+    """Paths of the files under ``path``; they are listed, not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return [row["path"] for row in listed.select("path").collect()]
+
+
+def check_surplus_columns(spark: SparkSession, path) -> None:
+    """Fail when a file has more columns than the schema, but for one without a name at the end.
+
+    The scan compares only the names of the columns that it reads, so values of further ones
+    would go unseen. The first line of each file is read for this, several files at a time.
+    """
+    known = len(FLIGHT_FILE_COLUMNS)
+
+    def surplus(file: str) -> list[str]:
+        more = spark.read.csv(file, header=True).columns[known:]
+        # The reader names a nameless column after its place.
+        return [] if len(more) == 1 and re.fullmatch(r"_c\d+", more[0]) else more
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        found = [(file, pool.submit(inheritable_thread_target(spark)(surplus), file)) for file in file_paths(spark, path)]
+        for file, columns in found:
+            if columns.result():
+                raise SurplusColumn(f"{file} has columns that are not known: {', '.join(columns.result())}")
+
+
+def read_flight_files(
+    spark: SparkSession, path, *, check_header: bool = True, raw_line: bool = False
+) -> DataFrame:
     """Flight rows from headered CSV, typed by position.
 
     A field that does not parse becomes null and the rest of its row is kept, a
     short row is filled with nulls, a trailing empty column is ignored. Because
     names are not used to bind columns, every file's header is compared with the
-    schema while it is read; a file with other columns or another order fails.
+    schema while it is read; a file with other columns or another order fails, and
+    one with further named columns before that. ``raw_line`` adds a column that holds
+    the line of each row in which a field did not parse.
     """
+    if check_header:
+        check_surplus_columns(spark, path)
     columns = [(name.upper(), kind) for name, kind in FLIGHT_FILE_COLUMNS]
-    rows = spark.read.schema(ddl([*columns, (_TRAILING, "string")])).csv(
-        path, header=True, enforceSchema=not check_header
+    hidden = [(_TRAILING, "string"), (RAW_LINE, "string")]
+    rows = spark.read.schema(ddl([*columns, *hidden])).csv(
+        path, header=True, enforceSchema=not check_header, columnNameOfCorruptRecord=RAW_LINE
     )
     # Dropping the placeholder prunes it from the scan, and with it from the check.
-    return rows.drop(_TRAILING)
+    return rows.drop(_TRAILING) if raw_line else rows.drop(_TRAILING, RAW_LINE)
 
 
 def read_lookup_file(spark: SparkSession, path) -> DataFrame:

@@ -7,6 +7,7 @@ from helpers import RECORD, conf, flight_line, write_cases, write_flights, write
 from pyspark.sql import functions as F
 
 from dailyfacts.cli import JOBS, main
+from dailyfacts.operators.publish import hide
 from dailyfacts.operators.quality import QualityError
 from dailyfacts.plans import cases, flights
 from dailyfacts.plans.daily import COUNTRY, refresh_departures, store_departures
@@ -183,8 +184,8 @@ def test_command_line_reload(spark, tmp_path):
     path = _raw(tmp_path)
     main(["--job", "reload", "--input-data", path, "--output-data", path], spark)
     assert spark.read.parquet(f"{path}/daily_impact.parquet").count() == 2
-    for name in TABLES:
-        spark.sql(f"DROP TABLE {name}")
+    for spec in TABLES.values():
+        hide(spark, spec)
 
 
 def test_session_and_scratch(spark):
