@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from dailyfacts.session import scratch_path
 
@@ -56,6 +61,48 @@ def chunks(rows: Iterable[tuple], size, limit: int):
         yield batch
 
 
-def process_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker and serves all of its tasks."""
-    return sys.__dict__.setdefault("_dailyfacts_caches", {}).setdefault(name, {})
+def in_frames(
+    rows: DataFrame, apply: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str,
+    keeps_cache: bool = False,
+) -> DataFrame:
+    """``rows.mapInPandas`` in which whole numbers stay exact beside nulls.
+
+    pandas would turn all of a batch's numbers into floating point for one null; columns that
+    hold one are nullable integers here. Workers drop the caches of earlier stages, unless
+    ``apply`` has one of its own.
+    """
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+
+    def exact(batch: pa.RecordBatch) -> pd.DataFrame:
+        frame = batch.to_pandas()
+        for name, column in zip(batch.schema.names, batch.columns, strict=True):
+            if column.null_count and pa.types.is_integer(column.type):
+                frame[name] = pd.array(column.to_pylist(), dtype="Int64")
+        return frame
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps_cache:
+            process_cache(None)
+        for frame in apply(map(exact, batches)):
+            yield pa.RecordBatch.from_pandas(frame, schema=fields, preserve_index=False)
+
+    return rows.mapInArrow(frames, schema)
+
+
+def process_cache(name: str | None) -> dict:
+    """A dictionary that lives as long as the Python worker and serves all tasks of one operator.
+
+    Those of other operators go, so that a reused worker does not hold the memory of earlier
+    stages; without a name all go.
+    """
+    caches = sys.__dict__.setdefault("_dailyfacts_caches", {})
+    for other in caches.keys() - {name}:
+        del caches[other]
+    return caches.setdefault(name, {}) if name else {}
+
+
+def forget_oldest(remembered: dict, most: int) -> None:
+    """Of a dictionary with more than ``most`` entries, drop the half that came first."""
+    if len(remembered) > most:
+        for key in list(islice(remembered, len(remembered) - most // 2)):
+            del remembered[key]

@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks, free_name, kept
+from dailyfacts.llm.common import chunks, free_name, in_frames, kept, process_cache
 from dailyfacts.llm.hashing import mix, word_hashes
 from dailyfacts.operators.joins import broadcast_if_small
 
@@ -57,7 +57,7 @@ COMMON_DOCS = 16
 #: Members of a group that are compared with as many others at a time.
 BLOCK = 512
 #: Bytes of text that are looked at in one go.
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 
 def most_differences(n: int) -> int:
@@ -96,6 +96,7 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
 
 def _in_sets(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     """``(other columns, set)`` of every row."""
+    process_cache(None)
     for batch in batches:
         others = batch.drop(columns="text").itertuples(index=False, name=None)
         rows = zip(others, batch["text"], strict=True)
@@ -310,7 +311,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     cast = docs.sparkSession.sparkContext.broadcast(common_shingles(rows))
     schema = "key long, n int, h1 long, h2 long, n_rare int, parity binary, signs array<long>"
-    described = rows.mapInPandas(_describe(cast), schema)
+    described = in_frames(rows, _describe(cast), schema)
     plain = kept(described, "jaccard-described")
     # Equal sets have one representative, the row with the smallest key.
     sets = plain.where("n > 0 and key is not null").groupBy("h1", "h2").agg(

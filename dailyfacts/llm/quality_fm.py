@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks
+from dailyfacts.llm.common import chunks, in_frames, process_cache
 from dailyfacts.llm.hashing import word_hashes
 
 #: Labelled rows that are fitted on, at most.
@@ -232,7 +232,7 @@ def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "t
                 raw = np.array([fm.raw(i, x) for i, x in found])
                 yield pd.DataFrame({"key": part["key"], "score": _sigmoid(raw)})
 
-    return rows.mapInPandas(apply, f"key {kind}, score double").withColumnRenamed("key", key)
+    return in_frames(rows, apply, f"key {kind}, score double").withColumnRenamed("key", key)
 
 
 def keep_good(docs: DataFrame, machine: Machine, text: str = "text", least: float = 0.5) -> DataFrame:
@@ -246,6 +246,7 @@ def keep_good(docs: DataFrame, machine: Machine, text: str = "text", least: floa
 
     @F.pandas_udf("double")
     def scored(row: pd.DataFrame) -> pd.Series:
+        process_cache(None)
         fm = Machine(*cast.value)
         raw = [
             fm.raw(i, x)
