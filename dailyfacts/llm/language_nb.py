@@ -12,7 +12,9 @@ one text depend on each other and the plain posterior of a long text is always 1
 Defined results: null or empty texts and texts without a letter are ``und`` with score
 0; ties go to the first language by code point; very long texts are read whole in
 slices that overlap by an n-gram; rows without a language do not train; with no
-training rows everything is ``und``; only the named columns are read.
+training rows everything is ``und``; more than ``MOST_CELLS // BUCKETS`` languages (1,024) are
+an error, as the matrix would not be small; only the named columns are read. A text's
+n-grams are its own, with a blank before and after it, whatever texts stand beside it.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks
+from dailyfacts.llm.common import chunks, in_frames
 from dailyfacts.llm.hashing import mix
 
 ORDERS = (1, 2, 3)
@@ -47,6 +49,15 @@ def _code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(blank, np.uint32(32), data), begins
 
 
+def _inside(begins: np.ndarray, order: int, n: int) -> np.ndarray:
+    """Whether the n-gram that starts at each of ``n`` places ends in the same text."""
+    inside = np.ones(n, dtype=bool)
+    for back in range(1, order):
+        at = begins[1:] - back
+        inside[at[at < n]] = False
+    return inside
+
+
 def _grams(points: np.ndarray, order: int, buckets: int) -> np.ndarray:
     """Bucket of the n-gram that starts at each place."""
     x = points.astype(np.uint64)
@@ -72,7 +83,7 @@ def _count(languages: list[str], buckets: int):
             owner = np.repeat([place[lang] for lang, _ in part], np.diff(begins))
             for order in ORDERS:
                 found = _grams(points, order, buckets)
-                cell = owner[: len(found)] * buckets + found
+                cell = (owner[: len(found)] * buckets + found)[_inside(begins, order, len(found))]
                 table += np.bincount(cell, minlength=table.size).reshape(table.shape)
         lang, bucket = np.nonzero(table)
         yield pd.DataFrame({"lang": lang, "bucket": bucket, "n": table[lang, bucket]})
@@ -132,9 +143,11 @@ def _score(model_cast):
                 total = np.zeros((len(part), len(languages)))
                 for order in ORDERS:
                     found = _grams(points, order, len(matrix))
+                    own = _inside(begins, order, len(found))
                     # One slice of places at a time, so that a very long text needs no more memory.
                     for at in range(0, len(found), SLICE):
                         values = matrix[found[at : at + SLICE]].astype(np.float64)
+                        values[~own[at : at + SLICE]] = 0
                         inside = np.clip(begins, at, at + len(values)) - at
                         filled = np.flatnonzero(np.diff(inside))
                         total[filled] += np.add.reduceat(values, inside[filled], axis=0)
@@ -158,5 +171,5 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
     parts = (model.languages, model.log_likelihood, model.log_prior)
     cast = docs.sparkSession.sparkContext.broadcast(parts)
     kind = dict(rows.dtypes)["key"]
-    scored = rows.mapInPandas(_score(cast), f"key {kind}, lang_pred string, score double")
+    scored = in_frames(rows, _score(cast), f"key {kind}, lang_pred string, score double")
     return scored.withColumnRenamed("key", key)
