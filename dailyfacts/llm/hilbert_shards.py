@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import kept
+from dailyfacts.llm.common import in_frames, kept
 
 SHARDS = 24
 DIMENSIONS = ("source", "lang", "size")
@@ -64,21 +64,42 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index.astype(np.int64)
 
 
-def _as_number(column: Column, kind: str) -> Column:
-    """A double that keeps the order of numbers, and of texts by their first six bytes."""
-    if kind == "string":
-        head = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
-    return F.coalesce(column.cast("double"), F.lit(float("-inf")))
+def text_cuts(narrow: DataFrame, column: str, bins: int) -> list[str]:
+    """Values at which the bins of a text column end, of whole texts in their order.
+
+    Rows are counted for each value, and the counts added up over ranges of values; only the
+    values at which a bin fills reach the driver, fewer than ``bins``.
+    """
+    counts = narrow.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    parts = kept(
+        counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "hilbert-counts"
+    )
+    by_part = Window.orderBy("part")
+    totals = parts.groupBy("part").agg(F.sum("n").alias("rows"))
+    offsets = totals.select(
+        "part", (F.sum("rows").over(by_part) - F.col("rows")).alias("rows_before"),
+        F.sum("rows").over(Window.partitionBy()).alias("all_rows"),
+    )
+    running = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    summed = parts.withColumn("upto", F.sum("n").over(running)).join(offsets, "part")
+    upto = F.col("rows_before") + F.col("upto")
+    filled = F.expr(f"(rows_before + upto - n) * {bins} div all_rows") < F.floor(upto * bins / F.col("all_rows"))
+    ends = summed.where(filled & (upto < F.col("all_rows")) & F.col("value").isNotNull())
+    return [row["value"] for row in ends.select("value").orderBy("value").collect()]
+
+
+def _bin(column: Column, cuts: list) -> Column:
+    """How many cuts are below a value, 0 for null."""
+    if not cuts:
+        return F.lit(0)
+    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < column))
+    return F.when(column.isNull(), 0).otherwise(below)
 
 
-def _cells(cuts: list[list[float]], bits: int):
+def _places(bits: int):
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            values = np.array(rows.pop("values").tolist(), dtype=float).reshape(len(rows), len(cuts))
-            cells = np.stack(
-                [np.searchsorted(c, values[:, i], "left") for i, c in enumerate(cuts)], axis=1
-            )
+            cells = np.array(rows.pop("cells").tolist(), dtype=np.int64).reshape(len(rows), -1)
             yield rows.assign(place=hilbert_index(cells, bits))
 
     return index
@@ -98,27 +119,29 @@ def hilbert_order(
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     size = (F.octet_length(body) + ROW_BYTES).cast("long")
     kinds = dict(docs.dtypes)
-    values = [
-        size.cast("double") if name == "size" else _as_number(F.col(f"`{name}`"), kinds[name])
-        for name in dimensions
-    ]
+    values = []
+    for i, name in enumerate(dimensions):
+        value = size if name == "size" else F.col(f"`{name}`")
+        is_text = name != "size" and kinds[name] == "string"
+        values.append((value if is_text else value.cast("double")).alias(f"d{i}"))
     narrow = kept(
         docs.select(
-            F.col(f"`{key}`").alias("key"), size.alias("size"), F.crc32(body).alias("text_crc32"),
-            F.array(*values).alias("values"),
+            F.col(f"`{key}`").alias("key"), size.alias("size"), F.crc32(body).alias("text_crc32"), *values
         ),
         "hilbert-values",
     )
-    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    found = narrow.agg(
-        *[
-            F.percentile_approx(F.get("values", F.lit(i)), shares, 1000).alias(f"c{i}")
-            for i in range(len(dimensions))
-        ]
-    ).first()
-    cuts = [sorted(set(c or [])) for c in found]
+    bins = 1 << bits
+    shares = [i / bins for i in range(1, bins)]
+    of_text = [i for i in range(len(dimensions)) if dict(narrow.dtypes)[f"d{i}"] == "string"]
+    of_number = [i for i in range(len(dimensions)) if i not in of_text]
+    cuts = {i: text_cuts(narrow, f"d{i}", bins) for i in of_text}
+    if of_number:
+        found = narrow.agg(*[F.percentile_approx(f"d{i}", shares, 10_000).alias(f"c{i}") for i in of_number])
+        cuts |= {i: sorted(set(c or [])) for i, c in zip(of_number, found.first(), strict=True)}
+    cells = F.array(*[_bin(F.col(f"d{i}"), cuts[i]).cast("int") for i in range(len(dimensions))])
     schema = "key " + dict(narrow.dtypes)["key"] + ", size long, text_crc32 long, place long"
-    return narrow.mapInPandas(_cells(cuts, bits), schema).withColumnRenamed("key", key)
+    placed = narrow.select("key", "size", "text_crc32", cells.alias("cells"))
+    return in_frames(placed, _places(bits), schema).withColumnRenamed("key", key)
 
 
 def cut_runs(ordered: DataFrame, shards: int = SHARDS, key: str = "doc_id") -> DataFrame:
