@@ -12,7 +12,7 @@ Lists are kept as blocks of bounded size, so a list that holds a third of all ve
 searched by many tasks; each gives its best ``k`` for each query, and those are merged.
 
 Distances of results are Euclidean in double precision on the vectors as given, ties go
-to the smaller id. Defined results: vectors that are null, zero, or hold a null or a
+to the smaller id. Defined results: rows with a null key take no part, and vectors that are null, zero, or hold a null or a
 component that is not finite take no part, nor do those of another length than most of
 the sample; repeated vectors are all posted; with fewer candidates than ``k`` all are
 given; an empty table gives no rows; only the named columns are read.
@@ -52,7 +52,7 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     ) & F.exists(v, lambda x: x != 0)
     return vectors.select(F.col(key).alias("key"), v.cast("array<double>").alias("v")).where(
-        v.isNotNull() & F.coalesce(good, F.lit(False))
+        F.col(key).isNotNull() & v.isNotNull() & F.coalesce(good, F.lit(False))
     )
 
 
