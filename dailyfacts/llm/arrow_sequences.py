@@ -3,7 +3,7 @@
 Documents are dealt to tasks by ranges of their key and encoded there in ascending
 order, an end id after each. A task cuts its run of ids into sequences of equal length,
 the last one padded, and writes record batches of two fixed-size lists: ``ids`` in the
-smallest unsigned type that holds the vocabulary, and ``mask``, true for ids and false
+smallest unsigned type that holds the vocabulary, and ``mask``, a byte each, 1 for ids and 0
 for padding. All sequences take equally many bytes, so a reader that maps a file gets
 any of them without copying. Next to the ids, a file of the same format holds
 ``key, start, n_tokens`` of each document, counted from the file's first id.
@@ -12,43 +12,59 @@ Files are written under a temporary name and renamed, so a task that runs again
 replaces its own file; names hold the number of the range.
 
 Defined results: a null or empty text is its end id alone; special tokens in a text are
-ordinary text; very long texts are encoded whole; repeated keys keep all their rows, in
+what the library makes of them; very long texts are encoded whole; repeated keys keep all their rows, in
 order of their texts; null keys come first; an empty table writes no file; columns other
 than key and text are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks, kept, process_cache
+from dailyfacts.llm.common import chunks, forget_oldest, in_frames, kept, process_cache
 
 #: Ids in a sequence, and sequences in a record batch.
 LENGTH = 1024
 ROWS = 256
 END_ID = 0
-#: Distinct pieces of text that a worker remembers the ids of.
-REMEMBERED = 1_000_000
+#: Distinct pieces of text that a worker remembers the ids of, some 40 MB.
+REMEMBERED = 200_000
 #: Characters that are encoded in one go.
 SLICE = 1 << 20
 
 
+def cuts_before_blanks(described: dict) -> bool:
+    """Whether a tokenizer file ends tokens before each blank that text follows.
+
+    That is known of byte-level pair encodings that split by their usual pattern, where nothing
+    normalises the text before and no added token takes blanks beside it.
+    """
+    pre = described.get("pre_tokenizer") or {}
+    plain = described.get("normalizer") is None and pre.get("type") == "ByteLevel"
+    usual = pre.get("use_regex", True) and not pre.get("add_prefix_space", False)
+    greedy = any(t.get("lstrip") or t.get("rstrip") for t in described.get("added_tokens") or [])
+    return plain and usual and not greedy and (described.get("model") or {}).get("type") == "BPE"
+
+
 class _Encoder:
     """Ids as little-endian bytes, by the tokenizers library.
 
-    No token spans a place before a blank that text follows, so a text is encoded in
-    pieces that start there, and pieces met before are not encoded again.
+    Where the file says so (:func:`cuts_before_blanks`), no token spans a place before a
+    blank that text follows; a text is then encoded in pieces that start there, and pieces met
+    before are not encoded again. Texts in which an added token stands are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -56,7 +72,10 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        self.cuts = cuts_before_blanks(described)
+        self.added = [token["content"] for token in described.get("added_tokens") or []]
         self.type, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.known: dict[str, bytes] = {}
 
@@ -77,18 +96,25 @@ class _Encoder:
                 held += f" {part}"
         return [*out, held] if held else out
 
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self.code, f.ids).tobytes() for f in found]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            # Long pieces seldom come again.
-            lengths = np.fromiter(map(len, self.known), np.int32, len(self.known))
-            most = np.median(lengths)
-            self.known = {p: ids for p, ids in self.known.items() if len(p) < most}
-        known = self.known
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[piece] = array(self.code, found.ids).tobytes()
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        whole = [i for i, t in enumerate(texts) if not self.cuts or any(a in t for a in self.added)]
+        done = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
+        cut = [[] if i in done else self.pieces(t) for i, t in enumerate(texts)]
+        # Distinct pieces first: most come many times among these texts.
+        here = dict.fromkeys(chain.from_iterable(cut))
+        new = [p for p in here if p not in self.known]
+        here.update(zip(new, self._encode(new), strict=True))
+        for piece, ids in here.items():
+            if ids is None:
+                here[piece] = self.known[piece]
+            else:
+                self.known[piece] = ids
+        forget_oldest(self.known, REMEMBERED)
+        return [done.get(i) or b"".join(map(here.__getitem__, pieces)) for i, pieces in enumerate(cut)]
 
 
 def _encoder(path: str) -> _Encoder:
@@ -98,6 +124,12 @@ def _encoder(path: str) -> _Encoder:
     return cache[path]
 
 
+def qualified_folder(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark gives it, its default file system's if it has none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def open_folder(uri: str):
     """The file system of a folder and the path in it."""
     from pyarrow import fs
@@ -106,7 +138,9 @@ def open_folder(uri: str):
         return fs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return fs.FileSystem.from_uri(uri)
+    # Hadoop's names for one store.
+    scheme, _, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
 
 
 class _Writer:
@@ -117,7 +151,7 @@ class _Writer:
         self.schema = pa.schema(
             [
                 ("ids", pa.list_(pa.from_numpy_dtype(self.dtype), length)),
-                ("mask", pa.list_(pa.bool_(), length)),
+                ("mask", pa.list_(pa.uint8(), length)),
             ]
         )
         self.out = pa.ipc.new_stream(sink, self.schema)
@@ -131,7 +165,7 @@ class _Writer:
             del self.held[:step]
 
     def _write(self, ids: np.ndarray, n: int) -> None:
-        mask = np.arange(len(ids)) < n
+        mask = (np.arange(len(ids)) < n).astype(np.uint8)
         lists = [
             pa.FixedSizeListArray.from_arrays(pa.array(values), self.length) for values in (ids, mask)
         ]
@@ -164,6 +198,7 @@ def write_sequences(
     ``tokenizer`` is the path of a file of the tokenizers library.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    folder = qualified_folder(docs.sparkSession, folder)
     ordered = rows.repartitionByRange(F.col("key"), F.xxhash64("text")).sortWithinPartitions("key", "text")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,7 +243,7 @@ def write_sequences(
         )
 
     schema = "part int, file string, index_file string, n_docs long, n_tokens long"
-    return kept(ordered.mapInPandas(write, schema), "sequence-files")
+    return kept(in_frames(ordered, write, schema, keeps_cache=True), "sequence-files")
 
 
 class SequenceFile:
@@ -230,11 +265,11 @@ class SequenceFile:
         return self.batches[batch].column(column).flatten()
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of one sequence."""
+        """Ids and mask of one sequence, both in the file's own memory."""
         b = int(np.searchsorted(self.begins, i, "right")) - 1
         at = (i - int(self.begins[b])) * self.length
         ids = self._values(b, "ids").slice(at, self.length).to_numpy()
-        return ids, self._values(b, "mask").slice(at, self.length).to_numpy(zero_copy_only=False)
+        return ids, self._values(b, "mask").slice(at, self.length).to_numpy().view(np.bool_)
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """Consecutive ids, over the borders of sequences and batches."""
@@ -249,7 +284,7 @@ class SequenceFile:
 
     def n_ids(self) -> int:
         """Ids that are no padding."""
-        return sum(int(self._values(b, "mask").true_count) for b in range(len(self.batches)))
+        return sum(int(self._values(b, "mask").to_numpy().sum(dtype=np.int64)) for b in range(len(self.batches)))
 
 
 def read_documents(files: DataFrame, folder: str) -> DataFrame:
@@ -260,6 +295,7 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.withColumn("before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
     # A number that is given is kept, else the few rows would be read by one task.
+    folder = qualified_folder(files.sparkSession, folder)
     dealt = placed.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -283,4 +319,4 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
                             }
                         )
 
-    return dealt.mapInPandas(read, "key long, start long, n_tokens long, ids_crc32 long")
+    return in_frames(dealt, read, "key long, start long, n_tokens long, ids_crc32 long")
