@@ -4,7 +4,8 @@ The search keeps, for every place in a window, the piece that ends there on the
 path, and a pointer to where that piece begins. Whenever the paths of all places from
 which a further piece may begin, the last ``longest piece`` ones, pass one boundary,
 the ids up to it are final: they are given out and the window moves there. So the memory
-does not grow with the text.
+does not grow with the text. Which pieces may end at a place is looked up by the last
+characters before it, so that only lengths that real pieces have are tried.
 
 What the best path is follows from the kind of the model:
 
@@ -14,8 +15,9 @@ What the best path is follows from the kind of the model:
   has one survivor, and the ids are those of the merges without running them.
 
 Characters without a piece become byte pieces, or the unknown id where there are none.
-Pieces have their blanks in front. Where that holds, paths meet before every blank, so
-words are searched on their own, and a worker remembers the ids of those it has met.
+Where no piece has a blank behind another character, no piece spans the place before a
+blank, so that all paths meet there and the search commits there without comparing
+them. What lies between two such places has always the same ids, which a worker remembers.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; very long
 texts are encoded whole; repeated rows get equal results; an empty table gives no rows;
@@ -26,21 +28,26 @@ gives the normalised text.
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks, process_cache
+from dailyfacts.llm.common import chunks, forget_oldest, process_cache
 
 BLANK = "▁"
-#: Distinct words that a worker remembers the ids of, and pairs of pieces.
-REMEMBERED = 1_200_000
-PAIRS = 1_000_000
+#: Distinct words that a worker remembers the ids of, and pairs of pieces: 200 MB at most.
+REMEMBERED = 500_000
+PAIRS = 400_000
+#: Characters before a place by which the pieces that end there are looked up.
+TAIL = 3
 #: Characters that are encoded in one go.
-SLICE = 1 << 20
+SLICE = 1 << 22
+#: For each place of a window: where its piece begins, the piece's id or -1, its path's score.
+Nodes = tuple[list[int], list[int], list[float]]
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -110,12 +117,19 @@ class Codec:
                 if not model.is_unused(i):
                     self.pieces[piece] = i
         self.longest = max(map(len, self.pieces), default=1)
+        self.by_tail: dict[str, set[int]] = {}
+        for piece in self.pieces:
+            if len(piece) > TAIL:
+                self.by_tail.setdefault(piece[-TAIL:], set()).add(len(piece))
+        self.tails: dict[str, tuple[tuple[int, int], ...]] = {}
         # No piece has a blank behind another character: then paths meet at blanks.
         self.meets = not any(BLANK in p.lstrip(BLANK) for p in self.pieces)
         self.unknown_score = min(self.scores, default=0.0) - 10.0
         self.type, self.code = ("<u2", "H") if n <= 1 << 16 else ("<u4", "I")
         self.known: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.names = {number: piece for piece, number in self.pieces.items()}
+        #: By the ids of two pieces, the left one -1 for none.
+        self.pairs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging leaves: best score first, the first pair of equal ones."""
@@ -132,105 +146,144 @@ class Codec:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def _apart(self, left: str, right: str) -> bool:
-        """Whether merging leaves two pieces as they are; with an empty left, whether it makes the right."""
-        pair = (left, right)
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) > PAIRS:
-                self.pairs.clear()
-            known = self.merged(left + right) == ([left, right] if left else [right])
-            self.pairs[pair] = known
+    def _apart(self, left: int, right: int) -> bool:
+        """Whether merging leaves two pieces as they are; without a left one, whether it makes the right."""
+        before, after = self.names.get(left, ""), self.names[right]
+        forget_oldest(self.pairs, PAIRS)
+        known = self.merged(before + after) == ([before, after] if before else [after])
+        self.pairs[left << 32 | right] = known
         return known
 
-    def _survivor(self, text: str, base: int, i: int, nodes: list) -> tuple:
-        """``(begin, piece or None, score)`` of the best path to a place."""
-        if self.bpe:
-            for j in range(max(base, i - self.longest), i):
-                piece = text[j:i]
-                if piece in self.pieces:
-                    before = nodes[j - base][1] or ""
-                    # A character without a piece merges with nothing.
-                    if self._apart(before if before in self.pieces else "", piece):
-                        return j, piece, 0.0
-            return i - 1, None, 0.0
-        best = (i - 1, None, nodes[i - 1 - base][2] + self.unknown_score)
-        for j in range(max(base, i - self.longest), i):
-            piece = self.pieces.get(text[j:i])
-            if piece is not None:
-                score = nodes[j - base][2] + self.scores[piece]
-                if score > best[2] or best[1] is None and text[i - 1 : i] in self.pieces:
-                    best = (j, text[j:i], score)
-        return best
+    def _ends(self, tail: str) -> tuple[tuple[int, int], ...]:
+        """``(length, id)`` of the pieces that may end behind these characters, the longest first.
+
+        The id is -1 where the piece has more characters than the tail.
+        """
+        longer = self.by_tail.get(tail, ()) if len(tail) == TAIL else ()
+        found = [(n, -1) for n in sorted(longer, reverse=True)]
+        found += [(n, self.pieces[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in self.pieces]
+        forget_oldest(self.tails, PAIRS)
+        self.tails[tail] = ends = tuple(found)
+        return ends
+
+    def _windows(self, text: str, nodes: Nodes) -> Iterator[tuple[list[int], list[int]]]:
+        """Where pieces begin, and their ids (-1 for none), given out as soon as they are final.
+
+        ``nodes`` may hold the places of a beginning of the text; further ones are added.
+        """
+        survive = self._merges if self.bpe else self._best_sums
+        n, base, step = len(text), 0, 4 * self.longest
+        while base + len(nodes[0]) <= n:
+            survive(text, base, min(n, base + len(nodes[0]) + step - 1), *nodes)
+            end = base + len(nodes[0]) - 1
+            if end < n:
+                common = self._boundary(base, end, nodes[0])
+                yield self._path(base, common, nodes)
+                nodes = tuple(values[common - base :] for values in nodes)
+                base = common
+        yield self._path(base, n, nodes)
 
     def stream(self, text: str) -> Iterator[tuple[str, bool]]:
-        """``(piece, has an id)`` in order, given out as soon as they are final."""
-        base, nodes = 0, [(0, "", 0.0)]
-        step = 4 * self.longest
-        for i in range(1, len(text) + 1):
-            nodes.append(self._survivor(text, base, i, nodes))
-            if i - base >= step and i % self.longest == 0 and i < len(text):
-                common = self._boundary(base, i, nodes)
-                if common > base:
-                    yield from self._path(text, base, common, nodes)
-                    nodes = nodes[common - base :]
-                    base = common
-        yield from self._path(text, base, len(text), nodes)
-
-    def _boundary(self, base: int, i: int, nodes: list) -> int:
+        """``(piece, has an id)`` in order."""
+        for places, ids in self._windows(text, ([0], [-1], [0.0])):
+            for begin, end, number in zip(places, places[1:], ids, strict=False):
+                yield text[begin:end], number >= 0
+
+    def _merges(self, text: str, base: int, end: int, begins: list, ids: list, scores: list) -> None:
+        """Go on to ``end``: of the pieces that end at a place, the one that stays apart from the one before."""
+        pieces, tails, pairs = self.pieces.get, self.tails, self.pairs
+        for i in range(base + len(begins), end + 1):
+            tail = text[i - TAIL if i > TAIL else 0 : i]
+            candidates = tails.get(tail)
+            if candidates is None:
+                candidates = self._ends(tail)
+            for size, number in candidates:
+                j = i - size
+                if j < base:
+                    continue
+                if number < 0:
+                    number = pieces(text[j:i])
+                    if number is None:
+                        continue
+                left = ids[j - base]
+                apart = pairs.get(left << 32 | number)
+                if apart or apart is None and self._apart(left, number):
+                    begins.append(j)
+                    ids.append(number)
+                    break
+            else:
+                # A character without a piece merges with nothing.
+                begins.append(i - 1)
+                ids.append(-1)
+
+    def _best_sums(self, text: str, base: int, end: int, begins: list, ids: list, scores: list) -> None:
+        """Go on to ``end``: the piece with which the path has the largest sum, of equal ones the longest."""
+        for i in range(base + len(begins), end + 1):
+            tail = text[i - TAIL if i > TAIL else 0 : i]
+            begin, best, score = i - 1, -1, None
+            for size, _ in self.tails.get(tail) or self._ends(tail):
+                j = i - size
+                number = self.pieces.get(text[j:i]) if j >= base else None
+                if number is not None and (score is None or scores[j - base] + self.scores[number] > score):
+                    begin, best, score = j, number, scores[j - base] + self.scores[number]
+            begins.append(begin)
+            ids.append(best)
+            scores.append(scores[i - 1 - base] + self.unknown_score if score is None else score)
+
+    def _boundary(self, base: int, i: int, begins: list[int]) -> int:
         """The last place that the paths of all places with a future pass."""
         passed = None
         for end in range(i, max(base, i - self.longest), -1):
             path, at = set(), end
             while at > base:
                 path.add(at)
-                at = nodes[at - base][0]
+                at = begins[at - base]
             passed = path if passed is None else passed & path
         return max(passed or {base})
 
-    def _path(self, text: str, base: int, end: int, nodes: list) -> list[tuple[str, bool]]:
-        out, at = [], end
+    def _path(self, base: int, end: int, nodes: Nodes) -> tuple[list[int], list[int]]:
+        """The ends of the pieces from ``base`` on, ``base`` before them, and their ids."""
+        begins, ids, _ = nodes
+        places, numbers, at = [end], [], end
         while at > base:
-            begin, piece, _ = nodes[at - base]
-            out.append((text[begin:at], piece is not None))
-            at = begin
-        return out[::-1]
-
-    def _short(self, text: str) -> list[int] | None:
-        """Ids of a text that fits the window, where every character has a piece."""
-        pieces, known, longest = self.pieces, self.pairs, self.longest
-        last, begins, ids = [""], [0], [0]
-        for i in range(1, len(text) + 1):
-            for j in range(max(0, i - longest), i):
-                piece = text[j:i]
-                number = pieces.get(piece)
-                if number is not None:
-                    apart = known.get((last[j], piece))
-                    if apart or apart is None and self._apart(last[j], piece):
-                        last.append(piece)
-                        begins.append(j)
-                        ids.append(number)
-                        break
-            else:
-                return None
-        out, at = [], len(text)
-        while at:
-            out.append(ids[at])
-            at = begins[at]
-        return out[::-1]
-
-    def segment_ids(self, text: str) -> list[int]:
-        if self.bpe and len(text) <= 4 * self.longest and (found := self._short(text)) is not None:
-            return found
-        ids = []
-        for piece, known in self.stream(text):
-            if known:
-                ids.append(self.pieces[piece])
+            numbers.append(ids[at - base])
+            at = begins[at - base]
+            places.append(at)
+        return places[::-1], numbers[::-1]
+
+    def word_ids(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        """``(word, ids)`` of the words in their order.
+
+        A word goes on from the places of the beginning that it shares with the one before.
+        """
+        nodes, before = ([0], [-1], [0.0]), ""
+        for word in sorted(words):
+            shared = 0
+            for x, y in zip(before, word, strict=False):
+                if x != y:
+                    break
+                shared += 1
+            for values in nodes:
+                del values[shared + 1 :]
+            found = []
+            for places, ids in self._windows(word, nodes):
+                if min(ids, default=0) < 0:
+                    ids = self._replace_unknown(word, places, ids, found)
+                found += ids
+            yield word, found
+            before = word
+
+    def _replace_unknown(self, text: str, places: list[int], ids: list[int], before: list[int]) -> list[int]:
+        """Ids with byte pieces, or the unknown id once for each run, where there is none."""
+        out, last = [], before[-1:]
+        for begin, end, number in zip(places, places[1:], ids, strict=False):
+            if number >= 0:
+                out.append(number)
             elif self.byte_ids:
-                ids += [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
-            elif not ids or ids[-1] != self.unknown:
-                ids.append(self.unknown)
-        return ids
+                out += [self.byte_ids[b] for b in text[begin:end].encode("utf-8", "surrogatepass")]
+            elif (out or last)[-1:] != [self.unknown]:
+                out.append(self.unknown)
+        return out
 
     def segments(self, normal: str) -> list[str]:
         """The text cut before every blank that another character is before."""
@@ -255,18 +308,15 @@ class Codec:
     def encode_normal(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that are normalised already."""
         cut = [self.segments(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            # Long words seldom come again.
-            most = np.median(np.fromiter(map(len, self.known), np.int32, len(self.known)))
-            self.known = {w: ids for w, ids in self.known.items() if len(w) < most}
+        # Distinct words first: most come many times among these texts.
+        here = dict.fromkeys(chain.from_iterable(cut))
         known = self.known
-        out = []
-        for words in cut:
-            for word in words:
-                if word not in known:
-                    known[word] = array(self.code, self.segment_ids(word)).tobytes()
-            out.append(b"".join(map(known.__getitem__, words)))
-        return out
+        new = [word for word in here if word not in known]
+        here.update((word, known.get(word)) for word in here)
+        for word, ids in self.word_ids(new):
+            here[word] = known[word] = array(self.code, ids).tobytes()
+        forget_oldest(known, REMEMBERED)
+        return [b"".join(map(here.__getitem__, words)) for words in cut]
 
     def decode(self, ids: bytes) -> str:
         """The normalised text, without the blank that was put before it."""
@@ -282,11 +332,18 @@ def _codec(path: str) -> Codec:
     return cache[path]
 
 
-def _texts(batches: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        sizes = ((i, len(t) if isinstance(t, str) else 0) for i, t in enumerate(batch[column]))
-        for part in chunks(sizes, lambda x: x[1] + 64, SLICE):
-            yield batch.iloc[part[0][0] : part[-1][0] + 1]
+def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Where runs of about ``SLICE`` characters of whole texts begin and end."""
+    sizes = ((i, len(t or "")) for i, t in enumerate(texts))
+    for part in chunks(sizes, lambda x: x[1] + 64, SLICE):
+        yield part[0][0], part[-1][0] + 1
+
+
+def _lists(values: list[bytes], kind: str) -> pa.ListArray:
+    """Ids of several texts as one list array."""
+    ends = np.cumsum([0, *map(len, values)]) // np.dtype(kind).itemsize
+    ids = np.frombuffer(b"".join(values), kind).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
 
 
 def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,39 +353,39 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
-        for part in _texts(batches, "text"):
-            texts = [t if isinstance(t, str) else "" for t in part["text"]]
-            normal = codec.model.normalize(texts)
-            found = codec.encode_normal(normal)
-            same = [
-                codec.decode(ids) == n.replace(BLANK, " ").removeprefix(" ")
-                for ids, n in zip(found, normal, strict=True)
-            ]
-            ids = [np.frombuffer(i, codec.type).astype(np.int32) for i in found]
-            yield pd.DataFrame(
-                {
-                    "key": part["key"], "ids": pd.Series(ids, index=part.index, dtype=object),
-                    "n_ids": pd.Series([len(i) for i in ids], index=part.index, dtype="int64"),
-                    "round_trip": pd.Series(same, index=part.index, dtype=bool),
-                }
-            )
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for a, b in _slices(texts):
+                normal = codec.model.normalize([t or "" for t in texts[a:b]])
+                found = codec.encode_normal(normal)
+                same = [
+                    codec.decode(ids) == n.replace(BLANK, " ").removeprefix(" ")
+                    for ids, n in zip(found, normal, strict=True)
+                ]
+                ids = _lists(found, codec.type)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").slice(a, b - a), ids, ids.value_lengths().cast(pa.int64()), pa.array(same)],
+                    ["key", "ids", "n_ids", "round_trip"],
+                )
 
     kind = dict(rows.dtypes)["key"]
-    out = rows.mapInPandas(apply, f"key {kind}, ids array<int>, n_ids long, round_trip boolean")
+    out = rows.mapInArrow(apply, f"key {kind}, ids array<int>, n_ids long, round_trip boolean")
     return out.withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, model: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``key, text`` of rows with ids; null ids give an empty text."""
-    rows = encoded.select(F.col(key).alias("key"), F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
+    rows = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
         for batch in batches:
-            texts = [codec.decode(np.asarray(i, dtype=codec.type).tobytes()) for i in batch["ids"]]
-            yield pd.DataFrame({"key": batch["key"], "text": texts})
+            texts = [
+                codec.decode(np.asarray(i or (), dtype=codec.type).tobytes()) for i in batch.column("ids").to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.string())], ["key", "text"])
 
     kind = dict(rows.dtypes)["key"]
-    return rows.mapInPandas(apply, f"key {kind}, text string").withColumnRenamed("key", key)
+    return rows.mapInArrow(apply, f"key {kind}, text string").withColumnRenamed("key", key)
