@@ -172,7 +172,6 @@ def test_sequences_hold_the_library_ids(spark, odd, tmp_path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(TOKENIZER)
-    library.encode_special_tokens = True
     docs = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
     files = arrow_sequences.write_sequences(docs, str(tmp_path / "out"), TOKENIZER, length=64)
     rows = sorted(arrow_sequences.read_documents(files, str(tmp_path / "out")).collect())
