@@ -59,6 +59,45 @@ def cast_float_to_int(spark, sf_dir):
     )
 
 
+_FLAGS = """
+select l_orderkey, l_linenumber, case
+  when l_linenumber = 1 then cast('NaN' as float) when l_linenumber = 2 then cast('Infinity' as float)
+  when l_linenumber = 3 then cast(3e9 as float) when l_linenumber = 4 then cast(-0.5 as float)
+  when l_linenumber = 5 then null else cast(l_quantity as float) end as flag
+from lineitem
+"""
+
+
+@query(f"""
+select l_orderkey, l_linenumber,
+  case when l_linenumber <= 3 then null else cast(trunc(flag) as integer) end as whole, flag <> 0 as truth
+from ({_FLAGS})
+""")
+def flag_edges(spark, sf_dir):
+    """Flags that are no number, out of range, below one or null."""
+    rows = spark.sql(_FLAGS.replace("lineitem", "{lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
+    return rows.select(
+        "l_orderkey", "l_linenumber", flag_to_int(F.col("flag")).alias("whole"), flag_to_bool(F.col("flag")).alias("truth")
+    )
+
+
+@query("""
+select o_orderkey, case when o_custkey % 5 = 0 then null else cast(o_orderdate as date) end as daterep
+from orders
+""")
+def parse_odd_dates(spark, sf_dir):
+    """Dates with one digit for day and month, and texts that are no dates."""
+    day = F.col("o_orderdate").cast("date")
+    wrong = F.array(
+        F.concat(F.lit("31/02/"), F.year(day)), F.date_format(day, "yyyy-MM-dd"), F.lit(""),
+        F.date_format(day, "d/M/yy"), F.lit(None).cast("string"),
+    )
+    text = F.when(
+        F.col("o_custkey") % 5 == 0, F.get(wrong, (F.col("o_orderkey") % 5).cast("int"))
+    ).otherwise(F.date_format(day, "d/M/yyyy"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", parse_day(text).alias("daterep"))
+
+
 @query("select l_orderkey, l_linenumber, cast(l_discount as boolean) as discounted from lineitem")
 def cast_float_to_bool(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from dailyfacts.catalogue.raw import (
     CASES_SQL,
+    DIRTY_CASES_SQL,
     FLIGHT_ROWS_SQL,
     FLIGHTS_SQL,
     LOOKUP_ORIGINS,
     lookup_file,
     raw_case_lines,
     raw_cases,
+    raw_dirty_cases,
     raw_flights,
     raw_lookups,
     raw_split_document,
@@ -206,3 +208,11 @@ def loaded_lookups(spark, sf_dir):
         for name, spec in LOOKUPS.items()
     ]
     return reduce(DataFrame.union, loaded)
+
+
+@query(f"select *, year as _year, month as _month from ({DIRTY_CASES_SQL})")
+def dirty_case_job(spark, sf_dir):
+    """The case job from records that come twice and hold days and counts that are lost."""
+    path = scratch_path(spark, "dirty-job")
+    cases.load_cases(spark, raw_dirty_cases(spark, sf_dir), path, multi_line=False)
+    return read_model(spark, f"{path}/{cases.OUTPUT}", CASES, keep_partitions=True)

@@ -97,8 +97,11 @@ def write_flight_files(
     return path
 
 
-def case_records(orders: DataFrame) -> DataFrame:
-    """One raw record per order; counts are text, some blank, some with a decimal tail."""
+def case_records(orders: DataFrame, *more: str) -> DataFrame:
+    """One raw record per order; counts are text, some blank, some with a decimal tail.
+
+    Columns of the orders named in ``more`` come along.
+    """
     day = F.col("o_orderdate").cast("date")
     return orders.select(
         F.struct(
@@ -111,7 +114,8 @@ def case_records(orders: DataFrame) -> DataFrame:
             F.col("o_orderpriority").alias("countriesAndTerritories"),
             F.expr("concat('G', cast(o_custkey % 100 as string))").alias("geoId"),
             F.col("o_orderstatus").alias("continentExp"),
-        ).alias("record")
+        ).alias("record"),
+        *more,
     )
 
 
@@ -133,6 +137,29 @@ def write_case_lines(orders: DataFrame, input_path: str) -> str:
     return path
 
 
+# The modelled cases where every record comes twice, some days are no dates and some counts no numbers.
+DIRTY_CASES_SQL = f"""
+select distinct * replace (
+  case when cases % 7 = 0 then null else daterep end as daterep, case when cases % 5 = 0 then null else deaths end as deaths
+) from ({CASES_SQL})
+"""
+
+
+def write_dirty_documents(orders: DataFrame, input_path: str) -> str:
+    """Case records, each of them twice, with one-digit dates, days that are no dates and odd counts."""
+    count = F.floor("o_totalprice").cast("long")
+    record = F.col("record")
+    day = F.when(count % 7 == 0, "31/02/2020").otherwise(
+        F.date_format(F.col("o_orderdate").cast("date"), "d/M/yyyy")
+    )
+    deaths = F.when(count % 5 == 0, "about 7").otherwise(record["deaths"])
+    changed = record.withField("dateRep", day).withField("deaths", deaths)
+    rows = case_records(orders, "o_totalprice", "o_orderdate").select(changed.alias("record"))
+    path = f"{input_path}/{cases.INPUT}"
+    rows.union(rows).select(F.array("record").alias("records")).write.json(path)
+    return path
+
+
 def write_split_document(orders: DataFrame, input_path: str) -> str:
     """All case records as one document in one file, which one task writes line by line."""
     path = f"{input_path}/{cases.INPUT}"
@@ -240,6 +267,12 @@ def raw_split_document(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "split-document", lambda path: write_split_document(orders, path))
 
 
+def raw_dirty_cases(spark: SparkSession, sf_dir: str) -> str:
+    """Input folder with case lines that come twice and hold values that are lost."""
+    orders = table(spark, sf_dir, "orders")
+    return _once(spark, sf_dir, "dirty-cases", lambda path: write_dirty_documents(orders, path))
+
+
 def raw_broken_flights(spark: SparkSession, sf_dir: str) -> str:
     """Input folder with flight files in which some fields do not parse."""
     lineitem = table(spark, sf_dir, "lineitem")

@@ -22,6 +22,7 @@ from dailyfacts.operators.publish import publish_after, shown_table
 from dailyfacts.operators.tables import (
     create_table,
     drop_table,
+    load_good_rows,
     load_table,
     read_range,
     split_required,
@@ -202,3 +203,18 @@ def observed_gate(spark, sf_dir):
     ]
     results = load_table(spark, spec, _orders_with_nulls(spark, sf_dir), database, rules)
     return spark.createDataFrame([(r.rule, r.actual) for r in results], "rule string, bad_rows long")
+
+
+@query(f"""
+select * replace (nullif(o_orderstatus, 'F') as o_orderstatus, nullif(o_orderpriority, '5-LOW') as o_orderpriority),
+  case when o_orderstatus = 'F' then 'o_orderstatus' end as missing
+from ({_ORDERS_SQL})
+""")
+def load_with_rejects(spark, sf_dir):
+    """Good rows in a table, rows without a required column beside it, from one computation."""
+    database, rejects = scratch_database(spark), scratch_path(spark, "rejects")
+    create_table(spark, ORDERS, database)
+    load_good_rows(spark, ORDERS, _orders_with_nulls(spark, sf_dir), rejects, database)
+    loaded = read_table(spark, ORDERS, database).withColumn("missing", F.lit(None).cast("string"))
+    beside = spark.read.parquet(rejects).withColumn("missing", F.array_join("missing", ","))
+    return loaded.unionByName(beside)

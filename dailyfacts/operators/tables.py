@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dailyfacts.operators.filters import any_null
-from dailyfacts.operators.layout import by_ranges, file_ranges, without_files
+from dailyfacts.operators.layout import by_ranges, file_ranges, shared, without_files
 from dailyfacts.operators.quality import CheckResult, Rule
 from dailyfacts.schemas import TableSpec, ddl
 from dailyfacts.sources.tables import qualified, read_table
@@ -94,6 +94,28 @@ def load_table(
     return [CheckResult(rule.name, counts[f"r{i}"], rule.expected) for i, rule in enumerate(rules)]
 
 
+def load_good_rows(
+    spark: SparkSession,
+    spec: TableSpec,
+    df: DataFrame,
+    rejects: str,
+    database: str | None = None,
+    rules: Sequence[Rule] = (),
+) -> list[CheckResult]:
+    """Append the rows with all required columns; the others go to Parquet files at ``rejects``.
+
+    Other than :func:`load_table` alone, a null fails nothing: rejected rows are kept with the
+    names of the columns that they miss. Both writes, and the finding of the ranges, use one
+    computation of ``df``, which is persisted meanwhile: computing it again for each would read,
+    parse and dedupe the raw files up to three times.
+    """
+    with shared(df.select(*spec.column_names)) as rows:
+        good, bad = split_required(rows, spec)
+        # First, so that a load that succeeds has its rejects.
+        bad.write.mode("overwrite").parquet(rejects)
+        return load_table(spark, spec, good, database, rules)
+
+
 def sort_order(spec: TableSpec) -> list[str]:
     """The partition columns and then the other columns of the sort key."""
     return [*spec.partition_by, *[name for name in spec.sort_by if name not in spec.partition_by]]

@@ -24,6 +24,7 @@ from dailyfacts.operators.quality import QualityError, Rule, enforce, null_rule
 from dailyfacts.operators.tables import (
     SORT_KEY,
     create_table,
+    load_good_rows,
     load_table,
     ranges_of,
     read_range,
@@ -162,6 +163,22 @@ def test_a_counted_load_has_one_scan(spark, database, tmp_path):
     assert len(jobs) == 1
 
 
+def test_rows_without_a_required_column_are_set_aside(spark, database, tmp_path):
+    spec = replace(CASES, required=("country", "deaths"))
+    create_table(spark, spec, database)
+    read = spark.sparkContext.accumulator(0)
+    country = F.when(F.col("id") % 4 > 0, F.lit("x"))
+    df = case_rows(spark, 40, country).withColumn("deaths", F.when(F.col("cases") % 3 > 0, F.col("cases")))
+    counted = df.rdd.map(lambda row: (read.add(1), row)[1]).toDF(df.schema)
+    found = load_good_rows(spark, spec, counted, str(tmp_path / "bad"), database, [null_rule(["country"])])
+    assert [r.actual for r in found] == [0]
+    # Two writes and the ranges, but every row was computed once.
+    assert read.value == 40
+    assert read_table(spark, spec, database).count() == 20
+    missing = spark.read.parquet(str(tmp_path / "bad")).groupBy("missing").count().collect()
+    assert {tuple(r.missing): r["count"] for r in missing} == {("country",): 6, ("deaths",): 10, ("country", "deaths"): 4}
+
+
 def fill_with(spark, spec, df, database, *rules):
     return lambda into: enforce(spec.name, load_table(spark, into(spec), df, database, rules))
 
