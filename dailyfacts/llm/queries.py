@@ -121,9 +121,9 @@ def op10_hilbert_shards(spark, sf_dir):
 
 @query()
 def op1_url_rules(spark, sf_dir):
-    """Verdict on every page: listed rules, else rules mined from the labels of all pages."""
+    """Verdict on every page: listed rules, else rules mined from the labels of all pages and proven."""
     pages = table(spark, sf_dir, "pages")
-    mined = url_rules.mine_rules(url_rules.labelled_urls(pages, table(spark, sf_dir, "labels")))
+    mined = url_rules.proven_rules(url_rules.labelled_urls(pages, table(spark, sf_dir, "labels")))
     return url_rules.judge(pages, mined)
 
 

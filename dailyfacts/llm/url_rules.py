@@ -8,6 +8,11 @@ Rules that a more general rule of at least the same confidence makes needless ar
 pruned. A mined rule is posted under its rarest token, a url looks its tokens up in that
 inverted index, and the other tokens of the rules found are compared.
 
+Bad pages may be rare, so what a rule must beat is their share among all labelled pages: on
+two thirds of the labels its share of bad pages is ``LIFT`` times that and more than chance
+explains (``SIGMAS`` deviations), and on the other third, which mining has not seen, it is
+``LIFT`` times that again.
+
 Mining counts every labelled page. Item sets are bounded by the support: a set of a
 page's tokens counts once for that page, so there are at most (sets of a page) divided
 by the support share.
@@ -41,6 +46,10 @@ SUPPORT = 0.01
 LEAST_PAGES = 20
 #: Share of the pages with the set that must be bad.
 CONFIDENCE = 0.5
+#: The same as a multiple of the share among all, how far beyond chance, and least pages to prove it on.
+LIFT = 1.25
+SIGMAS = 4.0
+LEAST_HELD = 5
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -84,9 +93,10 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 
 
 def labelled_urls(pages: DataFrame, labels: DataFrame, url: str = "url") -> DataFrame:
-    """``tokens, bad`` of the pages whose document is labelled.
+    """``tokens, bad, held`` of the pages whose document is labelled.
 
-    The document's number ends the path; it is bad when its quality is 0 or it is toxic.
+    The document's number ends the path; it is bad when its quality is 0 or it is toxic. A
+    third of the urls are held, to prove rules on.
     """
     address = F.col(url)
     numbered = pages.select(
@@ -96,7 +106,8 @@ def labelled_urls(pages: DataFrame, labels: DataFrame, url: str = "url") -> Data
     known = labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     joined = numbered.join(known.where("bad is not null"), "doc_id")
     return joined.select(
-        tokens(F.col("url"), host_of(F.col("url")), path_of(F.col("url"))).alias("tokens"), "bad"
+        tokens(F.col("url"), host_of(F.col("url")), path_of(F.col("url"))).alias("tokens"), "bad",
+        (F.pmod(F.xxhash64("url"), F.lit(3)) == 0).alias("held"),
     )
 
 
@@ -111,11 +122,11 @@ def mine_rules(
     FP-growth runs over the bad pages, which the support refers to; how many of all
     pages have a set is counted through the same inverted index that matches urls.
     """
-    labelled = kept(labelled.groupBy("tokens", "bad").agg(F.count(F.lit(1)).alias("n")), "url-labelled")
-    bad = labelled.where("bad and size(tokens) > 0")
-    repeated = bad.select(F.col("tokens").alias("items"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    rows = kept(labelled.select("tokens", "bad"), "url-labelled")
+    labelled = rows.groupBy("tokens", "bad").agg(F.count(F.lit(1)).alias("n"))
+    bad = rows.where("bad and size(tokens) > 0")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence)
-    sets = model.fit(repeated.select("items")).freqItemsets.where(F.col("freq") >= least_pages)
+    sets = model.fit(bad.select(F.col("tokens").alias("items"))).freqItemsets.where(F.col("freq") >= least_pages)
     frequent = kept(
         sets.select(F.sort_array("items").alias("tokens"), F.col("freq").cast("long").alias("n_bad"))
         .withColumn("rule_id", F.xxhash64(F.array_join("tokens", "\n"))),
@@ -131,6 +142,25 @@ def mine_rules(
     return prune(sure)
 
 
+def proven_rules(
+    labelled: DataFrame, support: float = SUPPORT, lift: float = LIFT, sigmas: float = SIGMAS,
+    least_pages: int = LEAST_PAGES, least_held: int = LEAST_HELD,
+) -> DataFrame:
+    """Mined rules that beat the share of bad pages, with ``held_n, held_bad`` of the held third."""
+    share = labelled.where("not held").agg(F.avg(F.col("bad").cast("int"))).first()[0] or 0.0
+    mined = mine_rules(labelled.where("not held"), support, min(1.0, lift * share), least_pages)
+    chance = F.col("n") * share
+    sure = mined.where(F.col("n_bad") - chance >= sigmas * F.sqrt(chance * (1 - share)))
+    held = labelled.where("held").groupBy("tokens").agg(
+        F.count(F.lit(1)).alias("held_n"), F.count_if("bad").alias("held_bad")
+    ).withColumnRenamed("tokens", "url_tokens")
+    met = match_rules(held, sure, "url_tokens", ["held_n", "held_bad"]).groupBy("rule_id").agg(
+        F.sum("held_n").alias("held_n"), F.sum("held_bad").alias("held_bad")
+    )
+    enough = (F.col("held_n") >= least_held) & (F.col("held_bad") >= lift * share * F.col("held_n"))
+    return kept(sure.join(met, "rule_id").where(enough), "url-proven")
+
+
 def prune(rules: DataFrame) -> DataFrame:
     """Rules without a part that is itself a rule of at least their confidence."""
     parts = rules.select(F.col("rule_id"), "tokens", "confidence", "n", "n_bad")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -170,6 +171,29 @@ def test_mined_rules_match_counting_all_sets(spark):
         assert (verdicts[i] == "block") == ("spam" in url or any(s <= _tokens(url) for s in expected))
 
 
+def test_rules_of_rare_bad_pages_are_proven_by_lift(spark):
+    rng = random.Random(7)
+    urls, labels = [], []
+    for i in range(3000):
+        host = f"h{i % 20}"
+        # One page of twelve is bad, of one host two of five: far below a half.
+        urls.append((i, f"https://{host}.org/p/{i}"))
+        labels.append((i, int(rng.random() >= (0.4 if host == "h7" else 0.08)), 0))
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    schema = "doc_id long, quality int, toxic int"
+    labelled = url_rules.labelled_urls(pages, spark.createDataFrame(labels, schema))
+    found = url_rules.proven_rules(labelled, least_pages=5).collect()
+    assert [r.tokens for r in found] == [["h:h7"]] and found[0].held_bad >= 0.2 * found[0].held_n > 1
+    assert url_rules.mine_rules(labelled, least_pages=5).count() == 0
+    verdicts = url_rules.judge(pages, url_rules.proven_rules(labelled, least_pages=5)).collect()
+    assert {r.verdict == "block" for r in verdicts if "h7." in r.host} == {True}
+    assert {r.verdict for r in verdicts if "h7." not in r.host} == {"allow"}
+    # Labels that do not depend on the url, or none, give no rule.
+    chance = spark.createDataFrame([(i, int(rng.random() >= 0.1), 0) for i in range(3000)], schema)
+    assert url_rules.proven_rules(url_rules.labelled_urls(pages, chance), least_pages=5).count() == 0
+    assert url_rules.proven_rules(url_rules.labelled_urls(pages, chance.limit(0))).count() == 0
+
+
 def _tokens(url):
     scheme, rest = url.split("://")
     host, first, _ = rest.split("/")
