@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -89,6 +90,21 @@ def in_frames(
     return rows.mapInArrow(frames, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Arrow batches of fewer bytes for what runs within a block: workers hold each several times."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def process_cache(name: str | None) -> dict:
     """A dictionary that lives as long as the Python worker and serves all tasks of one operator.
 

@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks, free_name, in_frames, kept, process_cache
+from dailyfacts.llm.common import chunks, free_name, in_frames, kept, process_cache, small_batches
 from dailyfacts.llm.hashing import mix, word_hashes
 from dailyfacts.operators.joins import broadcast_if_small
 
@@ -308,6 +308,12 @@ def components(links: DataFrame, label: str = "jaccard") -> DataFrame:
 
 def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id`` for every row."""
+    # All Python work is done before the block ends; what is returned are joins of its results.
+    with small_batches(docs.sparkSession):
+        return _groups(docs, key, text)
+
+
+def _groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     cast = docs.sparkSession.sparkContext.broadcast(common_shingles(rows))
     schema = "key long, n int, h1 long, h2 long, n_rare int, parity binary, signs array<long>"
