@@ -4,8 +4,8 @@ The search keeps, for every place in a window, the piece that ends there on the
 path, and a pointer to where that piece begins. Whenever the paths of all places from
 which a further piece may begin, the last ``longest piece`` ones, pass one boundary,
 the ids up to it are final: they are given out and the window moves there. So the memory
-does not grow with the text. Which pieces may end at a place is looked up by the last
-characters before it, so that only lengths that real pieces have are tried.
+does not grow with the text. An automaton of all pieces says which of them end at a place,
+so that only real pieces are tried.
 
 What the best path is follows from the kind of the model:
 
@@ -27,25 +27,27 @@ gives the normalised text.
 
 from __future__ import annotations
 
+import gc
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from ahocorasick import Automaton
+from pyarrow.compute import binary_length
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailyfacts.llm.common import chunks, forget_oldest, process_cache
 
 BLANK = "▁"
-#: Distinct words that a worker remembers the ids of, and pairs of pieces: 200 MB at most.
-REMEMBERED = 500_000
+#: Distinct words that a worker remembers the ids of, and pairs of pieces: 150 MB at most.
+REMEMBERED = 400_000
 PAIRS = 400_000
-#: Characters before a place by which the pieces that end there are looked up.
-TAIL = 3
-#: Characters that are encoded in one go.
-SLICE = 1 << 22
+#: Bytes of text that are encoded in one go.
+SLICE = 1 << 21
 #: For each place of a window: where its piece begins, the piece's id or -1, its path's score.
 Nodes = tuple[list[int], list[int], list[float]]
 
@@ -117,11 +119,10 @@ class Codec:
                 if not model.is_unused(i):
                     self.pieces[piece] = i
         self.longest = max(map(len, self.pieces), default=1)
-        self.by_tail: dict[str, set[int]] = {}
-        for piece in self.pieces:
-            if len(piece) > TAIL:
-                self.by_tail.setdefault(piece[-TAIL:], set()).add(len(piece))
-        self.tails: dict[str, tuple[tuple[int, int], ...]] = {}
+        self.automaton = Automaton()
+        for piece, number in self.pieces.items():
+            self.automaton.add_word(piece, (len(piece), number))
+        self.automaton.make_automaton()
         # No piece has a blank behind another character: then paths meet at blanks.
         self.meets = not any(BLANK in p.lstrip(BLANK) for p in self.pieces)
         self.unknown_score = min(self.scores, default=0.0) - 10.0
@@ -154,18 +155,6 @@ class Codec:
         self.pairs[left << 32 | right] = known
         return known
 
-    def _ends(self, tail: str) -> tuple[tuple[int, int], ...]:
-        """``(length, id)`` of the pieces that may end behind these characters, the longest first.
-
-        The id is -1 where the piece has more characters than the tail.
-        """
-        longer = self.by_tail.get(tail, ()) if len(tail) == TAIL else ()
-        found = [(n, -1) for n in sorted(longer, reverse=True)]
-        found += [(n, self.pieces[tail[-n:]]) for n in range(len(tail), 0, -1) if tail[-n:] in self.pieces]
-        forget_oldest(self.tails, PAIRS)
-        self.tails[tail] = ends = tuple(found)
-        return ends
-
     def _windows(self, text: str, nodes: Nodes) -> Iterator[tuple[list[int], list[int]]]:
         """Where pieces begin, and their ids (-1 for none), given out as soon as they are final.
 
@@ -189,43 +178,44 @@ class Codec:
             for begin, end, number in zip(places, places[1:], ids, strict=False):
                 yield text[begin:end], number >= 0
 
+    def _found(self, text: str, base: int, first: int, end: int) -> Iterator[tuple[int, tuple[int, int]]]:
+        """``(last character, (length, id))`` of the pieces up to ``end``, those of a place longest first."""
+        return self.automaton.iter(text, max(base, first - self.longest), end) if self.pieces else iter(())
+
     def _merges(self, text: str, base: int, end: int, begins: list, ids: list, scores: list) -> None:
         """Go on to ``end``: of the pieces that end at a place, the one that stays apart from the one before."""
-        pieces, tails, pairs = self.pieces.get, self.tails, self.pairs
-        for i in range(base + len(begins), end + 1):
-            tail = text[i - TAIL if i > TAIL else 0 : i]
-            candidates = tails.get(tail)
-            if candidates is None:
-                candidates = self._ends(tail)
-            for size, number in candidates:
-                j = i - size
-                if j < base:
-                    continue
-                if number < 0:
-                    number = pieces(text[j:i])
-                    if number is None:
-                        continue
-                left = ids[j - base]
-                apart = pairs.get(left << 32 | number)
-                if apart or apart is None and self._apart(left, number):
-                    begins.append(j)
-                    ids.append(number)
-                    break
-            else:
-                # A character without a piece merges with nothing.
-                begins.append(i - 1)
+        pairs = self.pairs
+        place = base + len(begins)
+        for last, (size, number) in self._found(text, base, place, end):
+            if last + 1 < place:
+                continue
+            # A character without a piece merges with nothing.
+            while place <= last:
+                begins.append(place - 1)
                 ids.append(-1)
+                place += 1
+            left = ids[last + 1 - size - base]
+            apart = pairs.get(left << 32 | number)
+            if apart or apart is None and self._apart(left, number):
+                begins.append(last + 1 - size)
+                ids.append(number)
+                place += 1
+        while place <= end:
+            begins.append(place - 1)
+            ids.append(-1)
+            place += 1
 
     def _best_sums(self, text: str, base: int, end: int, begins: list, ids: list, scores: list) -> None:
         """Go on to ``end``: the piece with which the path has the largest sum, of equal ones the longest."""
-        for i in range(base + len(begins), end + 1):
-            tail = text[i - TAIL if i > TAIL else 0 : i]
+        first = base + len(begins)
+        found = ((last + 1, size, number) for last, (size, number) in self._found(text, base, first, end))
+        by_place = {i: list(pieces) for i, pieces in groupby(found, key=itemgetter(0))}
+        for i in range(first, end + 1):
             begin, best, score = i - 1, -1, None
-            for size, _ in self.tails.get(tail) or self._ends(tail):
-                j = i - size
-                number = self.pieces.get(text[j:i]) if j >= base else None
-                if number is not None and (score is None or scores[j - base] + self.scores[number] > score):
-                    begin, best, score = j, number, scores[j - base] + self.scores[number]
+            for _, size, number in by_place.get(i, ()):
+                total = scores[i - size - base] + self.scores[number]
+                if score is None or total > score:
+                    begin, best, score = i - size, number, total
             begins.append(begin)
             ids.append(best)
             scores.append(scores[i - 1 - base] + self.unknown_score if score is None else score)
@@ -257,6 +247,7 @@ class Codec:
         A word goes on from the places of the beginning that it shares with the one before.
         """
         nodes, before = ([0], [-1], [0.0]), ""
+        survive = self._merges if self.bpe else self._best_sums
         for word in sorted(words):
             shared = 0
             for x, y in zip(before, word, strict=False):
@@ -265,13 +256,23 @@ class Codec:
                 shared += 1
             for values in nodes:
                 del values[shared + 1 :]
+            before = word
+            if len(word) <= 4 * self.longest:
+                # The window ends with the word: its one commit is the path from there.
+                survive(word, 0, len(word), *nodes)
+                begins, chosen, _ = nodes
+                found, at = [], len(word)
+                while at:
+                    found.append(chosen[at])
+                    at = begins[at]
+                if -1 not in found:
+                    found.reverse()
+                    yield word, found
+                    continue
             found = []
             for places, ids in self._windows(word, nodes):
-                if min(ids, default=0) < 0:
-                    ids = self._replace_unknown(word, places, ids, found)
-                found += ids
+                found += self._replace_unknown(word, places, ids, found) if -1 in ids else ids
             yield word, found
-            before = word
 
     def _replace_unknown(self, text: str, places: list[int], ids: list[int], before: list[int]) -> list[int]:
         """Ids with byte pieces, or the unknown id once for each run, where there is none."""
@@ -309,12 +310,16 @@ class Codec:
         """Ids of texts that are normalised already."""
         cut = [self.segments(t) for t in texts]
         # Distinct words first: most come many times among these texts.
-        here = dict.fromkeys(chain.from_iterable(cut))
-        known = self.known
-        new = [word for word in here if word not in known]
-        here.update((word, known.get(word)) for word in here)
-        for word, ids in self.word_ids(new):
-            here[word] = known[word] = array(self.code, ids).tobytes()
+        here: dict[str, bytes | None] = dict.fromkeys(chain.from_iterable(cut))
+        known, new = self.known, []
+        for word in here:
+            ids = known.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                here[word] = ids
+        for word, numbers in self.word_ids(new):
+            here[word] = known[word] = array(self.code, numbers).tobytes()
         forget_oldest(known, REMEMBERED)
         return [b"".join(map(here.__getitem__, words)) for words in cut]
 
@@ -332,11 +337,11 @@ def _codec(path: str) -> Codec:
     return cache[path]
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Where runs of about ``SLICE`` characters of whole texts begin and end."""
-    sizes = ((i, len(t or "")) for i, t in enumerate(texts))
+def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Runs of about ``SLICE`` bytes of whole texts, and where they begin; null as an empty text."""
+    sizes = enumerate(binary_length(texts).fill_null(0).to_pylist())
     for part in chunks(sizes, lambda x: x[1] + 64, SLICE):
-        yield part[0][0], part[-1][0] + 1
+        yield part[0][0], [t or "" for t in texts.slice(part[0][0], len(part)).to_pylist()]
 
 
 def _lists(values: list[bytes], kind: str) -> pa.ListArray:
@@ -355,10 +360,11 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
+        # Nothing here makes cycles, and the many small objects keep the collector busy.
+        gc.disable()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in _slices(texts):
-                normal = codec.model.normalize([t or "" for t in texts[a:b]])
+            for a, texts in _slices(batch.column("text")):
+                normal = codec.model.normalize(texts)
                 found = codec.encode_normal(normal)
                 same = [
                     codec.decode(ids) == n.replace(BLANK, " ").removeprefix(" ")
@@ -366,9 +372,10 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
                 ]
                 ids = _lists(found, codec.type)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(a, b - a), ids, ids.value_lengths().cast(pa.int64()), pa.array(same)],
+                    [batch.column("key").slice(a, len(texts)), ids, ids.value_lengths().cast(pa.int64()), pa.array(same)],
                     ["key", "ids", "n_ids", "round_trip"],
                 )
+        gc.enable()
 
     kind = dict(rows.dtypes)["key"]
     out = rows.mapInArrow(apply, f"key {kind}, ids array<int>, n_ids long, round_trip boolean")
