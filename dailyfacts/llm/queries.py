@@ -24,6 +24,7 @@ from dailyfacts.llm import (
     url_rules,
 )
 from dailyfacts.llm.common import remainder
+from dailyfacts.llm.xxhash_sql import xxhash64
 from dailyfacts.session import scratch_path
 
 #: Folder of the public tokenizers' files, on every machine.
@@ -166,7 +167,39 @@ def op6_arrow_sequences(spark, sf_dir):
     return arrow_sequences.read_documents(files, folder).withColumnRenamed("key", "doc_id")
 
 
-@query()
+_JACCARD_SQL = rf"""
+with recursive split as (
+  select doc_id, [x for x in regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+  ) if x <> ''] as ws from documents
+),
+sets as materialized (
+  select distinct doc_id, hash(s) as h, md5(s) as m from (
+    select doc_id, unnest([array_to_string(ws[i + 1:i + {partenum.WORDS}], ' ')
+      for i in range(greatest(len(ws) - {partenum.WORDS - 1}, 1))]) as s from split where len(ws) > 0
+  )
+),
+sizes as materialized (select doc_id, count(*) as n from sets group by doc_id),
+shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as common from sets x join sets y using (h, m)
+  where x.doc_id < y.doc_id group by a, b
+),
+pairs as materialized (
+  select a, b from shared join sizes x on a = x.doc_id join sizes y on b = y.doc_id
+  where 100 * common >= {partenum.MINIMUM} * (x.n + y.n - common)
+),
+links as materialized (
+  select a, b from pairs union all select b, a from pairs union all select doc_id, doc_id from documents
+),
+reached as (
+  select a, b from links union select reached.a, links.b from reached join links on reached.b = links.a
+)
+select a as doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(b) as component_id
+from reached left join sizes on a = doc_id group by a
+"""
+
+
+@query(_JACCARD_SQL)
 def op4_partenum(spark, sf_dir):
     """Shingles and component of every document."""
     return partenum.jaccard_groups(table(spark, sf_dir, "documents"))
@@ -235,14 +268,110 @@ def op11_slice_codes(spark, sf_dir):
     return slice_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
-@query()
+# Matches of a run come 16 in a row at least: equal windows of 16 words at a distance of its period.
+_RUNS_SQL = r"""
+with crc as (
+  select list(list_reduce(range(8),
+    lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end, n::bigint) order by n) as t
+  from range(256) as r(n)
+),
+hashed as (
+  select doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] as ws,
+    xor(list_reduce([ascii(c)::bigint for c in string_split(doc_id::varchar, '')],
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::bigint), 4294967295::bigint) as h
+  from documents, crc
+),
+tails as (
+  select doc_id, ws, len(ws) as n, h % 10 = 0 and len(ws) > 0 as planted, (h // 10) % greatest(len(ws), 1) as a, h // 10 as g
+  from hashed
+),
+docs as materialized (
+  select doc_id, n, case when planted then
+    [ws[(case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + g % 8)) end) + 1] for i in range(n)]
+    else ws end as ws
+  from tails
+),
+windows as (
+  select doc_id, n, i, sha256(array_to_string(ws[i + 1:i + 16], ' ')) as w
+  from (select doc_id, n, ws, unnest(range(n - 15)) as i from docs where n >= 24)
+),
+pairs as (
+  select x.doc_id, x.i, y.i - x.i as q from windows x join windows y using (doc_id, w)
+  where y.i > x.i and 3 * (y.i - x.i) <= x.n
+),
+islands as (
+  select doc_id, q, min(i) as start, count(*) + 15 + q as length
+  from (select *, i - row_number() over (partition by doc_id, q order by i) as island from pairs)
+  group by doc_id, q, island having count(*) + 15 + q >= greatest(24, 3 * q)
+),
+runs as materialized (
+  select doc_id, start, length, min(q) as period from islands group by doc_id, start, length
+),
+best as (
+  select * from runs
+  qualify row_number() over (partition by doc_id order by length / period desc, start, period) = 1
+),
+listed as (
+  select doc_id, count(*) as n_runs,
+    sha256(string_agg(concat(start, ',', length, ',', period, chr(10)), '' order by start, period)) as runs_sha256
+  from runs group by doc_id
+),
+dropped as (
+  select distinct doc_id, unnest(range(start + period, start + length)) as i from runs
+),
+stay as (
+  select doc_id, string_agg(word, ' ' order by i) as body
+  from (select doc_id, unnest(range(n)) as i, unnest(ws) as word from docs where doc_id in (select doc_id from runs))
+  anti join dropped using (doc_id, i) group by doc_id
+)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, start::bigint as start, length::bigint as length,
+  period::bigint as period, (1000 * length // period)::bigint as exponent_milli,
+  coalesce(runs_sha256, sha256('')) as runs_sha256, sha256(coalesce(body, array_to_string(ws, ' '))) as collapsed_sha256
+from docs left join listed using (doc_id) left join best using (doc_id) left join stay using (doc_id)
+"""
+
+
+@query(_RUNS_SQL)
 def op12_periodic_runs(spark, sf_dir):
     """Runs of every document, with planted tails, and its words without repeated roots."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"), h=h)
 
 
-@query()
+_BIT_COUNTS = ", ".join(f"sum((h // {1 << b}::uhugeint) % 2)::bigint as b{b}" for b in range(64))
+# As a signed number, so that the highest bit counts negative.
+_PRINT = " + ".join(f"case when 2 * b{b} > n then {-(1 << 63) if b == 63 else 1 << b}::hugeint else 0 end" for b in range(64))
+_PRINTS_SQL = rf"""
+with recursive split as (
+  select doc_id, [x for x in regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+  ) if x <> ''] as ws from documents
+),
+shingles as materialized (
+  select doc_id, unnest([array_to_string(ws[i + 1:i + 3], ' ') for i in range(greatest(len(ws) - 2, 1))]) as s
+  from split where len(ws) > 0
+),
+distinct_shingles as (select distinct s from shingles),
+hashed as materialized ({xxhash64("distinct_shingles", simhash_trie.SEED)}),
+counted as (select doc_id, count(*) as n, {_BIT_COUNTS} from shingles join hashed using (s) group by doc_id),
+printed as materialized (
+  select doc_id, coalesce(p, 0)::bigint as p from split left join (select doc_id, {_PRINT} as p from counted) using (doc_id)
+),
+prints as (select distinct p from printed),
+links as materialized (
+  select x.p as a, y.p as b from prints x join prints y on bit_count(xor(x.p, y.p)) <= {simhash_trie.MOST}
+),
+reached as (
+  select a, b from links union select reached.a, links.b from reached join links on reached.b = links.a
+),
+labelled as (
+  select a as p, min(doc_id) as component_id from reached join printed on b = printed.p group by a
+)
+select doc_id, printf('%016x', p) as fingerprint, component_id from printed join labelled using (p)
+"""
+
+
+@query(_PRINTS_SQL)
 def op13_simhash_trie(spark, sf_dir):
     """Fingerprint and component of every document."""
     return simhash_trie.simhash_groups(table(spark, sf_dir, "documents"))

@@ -267,3 +267,18 @@ def test_shards_follow_the_curve(spark):
         upto += size
     dealt = hilbert_shards.cut_runs(hilbert_shards.hilbert_order(docs, dimensions=dims)).collect()
     assert {r.doc_id: (r.shard, r.slot) for r in dealt} == wanted
+
+
+def test_hash_in_sql_equals_the_library():
+    import duckdb
+    import xxhash
+
+    from dailyfacts.llm.xxhash_sql import xxhash64
+
+    words = ["", "a", "abcd", "1234567", "12345678", "x" * 31, "x" * 32, "x" * 33, "é日本 über straße", "w" * 100 + "é😀"]
+    con = duckdb.connect()
+    con.execute("create table words (s varchar)")
+    con.executemany("insert into words values (?)", [[w] for w in words])
+    for seed in (0, 42):
+        found = dict(con.sql(xxhash64("words", seed)).fetchall())
+        assert {w: int(h) for w, h in found.items()} == {w: xxhash.xxh64_intdigest(w.encode(), seed) for w in words}
