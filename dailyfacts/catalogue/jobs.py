@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dailyfacts import cli
 from dailyfacts.catalogue.raw import (
+    BROKEN_FIELDS,
     CASES_SQL,
     DIRTY_CASES_SQL,
     FLIGHT_ROWS_SQL,
@@ -16,6 +18,7 @@ from dailyfacts.catalogue.raw import (
     LOOKUP_ORIGINS,
     lookup_file,
     raw_case_lines,
+    raw_broken_flights,
     raw_cases,
     raw_dirty_cases,
     raw_flights,
@@ -141,20 +144,31 @@ def case_split_job(spark, sf_dir):
     return read_model(spark, f"{path}/{cases.OUTPUT}", CASES, keep_partitions=True)
 
 
-@query(f"""
+_LATE = date(1998, 6, 1)
+_REFRESHED_SQL = f"""
 select *, year as _year, month as _month from (
   select distinct * replace (case when fl_date >= date '1998-06-01' then 'ZZ' else tail_num end as tail_num)
   from ({FLIGHTS_SQL})
 )
-""")
+"""
+
+
+def _late_tail(spark, sf_dir, path, *, only_late):
+    """Raw flights with another tail number since ``_LATE``, or these flights only."""
+    late = F.col("l_shipdate").cast("date") >= _LATE
+    lineitem = table(spark, sf_dir, "lineitem")
+    write_flight_files(
+        lineitem.where(late) if only_late else lineitem, path,
+        {"tail_num": lambda tail: F.when(late, "ZZ").otherwise(tail)},
+    )
+
+
+@query(_REFRESHED_SQL)
 def month_refresh_job(spark, sf_dir):
     """The flights job twice; the second time only the months with other rows are written."""
     path, changed = scratch_path(spark, "refresh"), scratch_path(spark, "changed-flights")
     flights.load_flights(spark, raw_flights(spark, sf_dir), path, replace="changed")
-    late = F.col("l_shipdate").cast("date") >= date(1998, 6, 1)
-    write_flight_files(
-        table(spark, sf_dir, "lineitem"), changed, {"tail_num": lambda tail: F.when(late, "ZZ").otherwise(tail)}
-    )
+    _late_tail(spark, sf_dir, changed, only_late=False)
     flights.load_flights(spark, changed, path, replace="changed")
     return read_model(spark, f"{path}/{flights.OUTPUT}", FLIGHTS, keep_partitions=True)
 
@@ -216,3 +230,24 @@ def dirty_case_job(spark, sf_dir):
     path = scratch_path(spark, "dirty-job")
     cases.load_cases(spark, raw_dirty_cases(spark, sf_dir), path, multi_line=False)
     return read_model(spark, f"{path}/{cases.OUTPUT}", CASES, keep_partitions=True)
+
+
+@query(_REFRESHED_SQL)
+def command_line_refresh(spark, sf_dir):
+    """The flights job from its command line, and again with the last months only."""
+    path, last = scratch_path(spark, "command-line"), scratch_path(spark, "last-flights")
+    _late_tail(spark, sf_dir, last, only_late=True)
+    for source, replace in ((raw_flights(spark, sf_dir), "all"), (last, "months")):
+        arguments = ["--job", "load_flights", "--input-data", source, "--output-data", path, "--replace", replace]
+        cli.main(arguments, spark)
+    return read_model(spark, f"{path}/{flights.OUTPUT}", FLIGHTS, keep_partitions=True)
+
+
+@query("select 'rows' as what, count(*) as n from lineitem union all " + " union all ".join(
+    f"select '{name}', count(*) from lineitem where {where}" for name, (where, _) in BROKEN_FIELDS.items()
+))
+def job_report(spark, sf_dir):
+    """What the flights job reports: rows read, and fields of each column that were lost."""
+    report = flights.load_flights(spark, raw_broken_flights(spark, sf_dir), scratch_path(spark, "report-job"))
+    lost = [(name, n) for name, n in report.rejects.items() if n]
+    return spark.createDataFrame([("rows", report.rows_read), *lost], "what string, n long")
