@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -68,6 +70,9 @@ def in_frames(
 ) -> DataFrame:
     """``rows.mapInPandas`` in which whole numbers stay exact beside nulls.
 
+    At its end a task gives back the memory that its worker does not use, as the worker waits
+    for other tasks beside the executor.
+
     pandas would turn all of a batch's numbers into floating point for one null; columns that
     hold one are nullable integers here. Workers drop the caches of earlier stages, unless
     ``apply`` has one of its own.
@@ -86,6 +91,8 @@ def in_frames(
             process_cache(None)
         for frame in apply(map(exact, batches)):
             yield pa.RecordBatch.from_pandas(frame, schema=fields, preserve_index=False)
+        frame = None
+        give_back()
 
     return rows.mapInArrow(frames, schema)
 
@@ -105,6 +112,15 @@ def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system, as far as its libraries know how."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def process_cache(name: str | None) -> dict:
     """A dictionary that lives as long as the Python worker and serves all tasks of one operator.
 

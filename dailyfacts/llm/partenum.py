@@ -141,7 +141,7 @@ def _common_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def common_shingles(rows: DataFrame) -> np.ndarray:
     """The most common shingles, rarest first; ``COMMON`` at most."""
     found = (
-        rows.select("key", "text").mapInPandas(_common_part, "shingle long, n long")
+        in_frames(rows.select("key", "text"), _common_part, "shingle long, n long")
         .groupBy("shingle").agg(F.sum("n").alias("n"))
         .where(F.col("n") >= COMMON_DOCS)
         .orderBy(F.col("n").desc(), "shingle").limit(COMMON)
@@ -233,7 +233,7 @@ def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             rows = zip(batch["left"], batch["n"], batch["right"], batch["m"], strict=True)
             yield batch.loc[[may_link(*row) for row in rows], ["a", "b"]]
 
-    return both.mapInPandas(compare, "a long, b long").distinct()
+    return in_frames(both, compare, "a long, b long").distinct()
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 rows, n_bytes = [], 0
         yield pd.DataFrame(rows, columns=["key", "elements"])
 
-    found = kept(needed.mapInPandas(sets, "key long, elements binary"), "jaccard-sets")
+    found = kept(in_frames(needed, sets, "key long, elements binary"), "jaccard-sets")
     both = (
         pairs.join(found.select(F.col("key").alias("a"), F.col("elements").alias("left")), "a")
         .join(found.select(F.col("key").alias("b"), F.col("elements").alias("right")), "b")
@@ -271,7 +271,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 linked.append(100 * shared >= MINIMUM * (len(x) + len(y) - shared))
             yield batch.loc[linked, ["a", "b"]]
 
-    return both.mapInPandas(compare, "a long, b long")
+    return in_frames(both, compare, "a long, b long")
 
 
 def components(links: DataFrame, label: str = "jaccard") -> DataFrame:
@@ -441,7 +441,7 @@ def _between_components(members: DataFrame, labels: DataFrame, sets: DataFrame)
                 a, b = _open_pairs(*map(np.asarray, one[:3]), one[3], *map(np.asarray, two[:3]), two[3])
                 yield pd.DataFrame({"a": a, "b": b})
 
-    return met.mapInPandas(compare, "a long, b long").distinct()
+    return in_frames(met, compare, "a long, b long").distinct()
 
 
 def _folded(vectors: list[bytes], length: int) -> np.ndarray:

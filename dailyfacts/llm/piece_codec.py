@@ -40,12 +40,12 @@ from pyarrow.compute import binary_length
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks, forget_oldest, process_cache
+from dailyfacts.llm.common import chunks, forget_oldest, give_back, process_cache
 
 BLANK = "▁"
-#: Distinct words that a worker remembers the ids of, and pairs of pieces: 150 MB at most.
-REMEMBERED = 400_000
-PAIRS = 400_000
+#: Distinct words that a worker remembers the ids of, and pairs of pieces: 100 MB at most.
+REMEMBERED = 250_000
+PAIRS = 250_000
 #: Bytes of text that are encoded in one go.
 SLICE = 1 << 21
 #: For each place of a window: where its piece begins, the piece's id or -1, its path's score.
@@ -376,6 +376,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
                     ["key", "ids", "n_ids", "round_trip"],
                 )
         gc.enable()
+        give_back()
 
     kind = dict(rows.dtypes)["key"]
     out = rows.mapInArrow(apply, f"key {kind}, ids array<int>, n_ids long, round_trip boolean")
