@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
+import threading
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from itertools import islice
@@ -22,13 +23,36 @@ from dailyfacts.session import scratch_path
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
+# Folders of the blocks of ``scratch_scope`` that this thread is in.
+_open = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`kept` writes within the block are removed at its end.
+
+    For work whose result is written within the block, too, as ``lasting``.
+    """
+    outer, _open.folders = getattr(_open, "folders", None), []
+    try:
+        yield
+    finally:
+        folders, _open.folders = _open.folders, outer
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def kept(df: DataFrame, label: str, lasting: bool = False) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
     Cuts the lineage where a result is used several times; a lost executor costs the
     tasks it ran and not the steps before.
     """
     path = scratch_path(df.sparkSession, label)
+    folders = getattr(_open, "folders", None)
+    if folders is not None and not lasting:
+        folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

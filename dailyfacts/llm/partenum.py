@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailyfacts.llm.common import chunks, free_name, in_frames, kept, process_cache, small_batches
+from dailyfacts.llm.common import chunks, free_name, in_frames, kept, process_cache, scratch_scope, small_batches
 from dailyfacts.llm.hashing import mix, word_hashes
 from dailyfacts.operators.joins import broadcast_if_small
 
@@ -481,10 +481,9 @@ def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text")
     are only shuffled when the keys that go are too many to be broadcast, or for repeated keys.
     """
     k = free_name(docs, "_key")
-    groups = kept(
-        jaccard_groups(docs, key, text).where("n_shingles > 0").select(F.col(key).alias(k), "component_id"),
-        "jaccard-groups",
-    )
+    with scratch_scope(docs.sparkSession):
+        labelled = jaccard_groups(docs, key, text).where("n_shingles > 0")
+        groups = kept(labelled.select(F.col(key).alias(k), "component_id"), "jaccard-groups", lasting=True)
     gone = groups.where(F.col(k) != F.col("component_id")).select(k).distinct()
     first = docs.join(broadcast_if_small(gone), F.col(f"`{key}`") == F.col(k), "left_anti")
     again = kept(

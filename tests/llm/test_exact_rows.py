@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 
@@ -157,6 +158,20 @@ def test_caches_go_when_a_worker_turns_to_something_else():
     assert list(numbers) == [6, 7, 8, 9]
 
 
+def test_tables_of_a_scope_go_with_it(spark, docs):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    with common.scratch_scope(spark):
+        passing = common.kept(docs, "passing")
+        lasting = common.kept(passing.where("doc_id is not null"), "lasting", lasting=True)
+    assert [name.split("-")[1] for name in set(os.listdir(folder)) - before] == ["lasting"]
+    assert lasting.count() == 4 and common.kept(docs, "outside").count() == 6
+    left = partenum.one_of_each_group(docs)
+    made = {name.split("-", 1)[1].rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert made == {"lasting", "outside", "jaccard-groups", "jaccard-repeated"}
+    assert left.count() == 6
+
+
 # Pieces.
 
 
