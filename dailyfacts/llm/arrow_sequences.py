@@ -3,8 +3,8 @@
 Documents are dealt to tasks by ranges of their key and encoded there in ascending
 order, an end id after each. A task cuts its run of ids into sequences of equal length,
 the last one padded, and writes record batches of two fixed-size lists: ``ids`` in the
-smallest unsigned type that holds the vocabulary, and ``mask``, a byte each, 1 for ids and 0
-for padding. All sequences take equally many bytes, so a reader that maps a file gets
+smallest unsigned type that holds the vocabulary, and ``mask``, true for ids and false
+for padding, a bit each. All sequences take equally many bytes, so a reader that maps a file gets
 any of them without copying. Next to the ids, a file of the same format holds
 ``key, start, n_tokens`` of each document, counted from the file's first id.
 
@@ -40,8 +40,8 @@ from dailyfacts.llm.common import chunks, forget_oldest, in_frames, kept, proces
 LENGTH = 1024
 ROWS = 256
 END_ID = 0
-#: Distinct pieces of text that a worker remembers the ids of, some 40 MB.
-REMEMBERED = 200_000
+#: Distinct pieces of text that a worker remembers the ids of, until it turns to another operator.
+REMEMBERED = 1_000_000
 #: Characters that are encoded in one go.
 SLICE = 1 << 20
 
@@ -151,7 +151,7 @@ class _Writer:
         self.schema = pa.schema(
             [
                 ("ids", pa.list_(pa.from_numpy_dtype(self.dtype), length)),
-                ("mask", pa.list_(pa.uint8(), length)),
+                ("mask", pa.list_(pa.bool_(), length)),
             ]
         )
         self.out = pa.ipc.new_stream(sink, self.schema)
@@ -165,7 +165,7 @@ class _Writer:
             del self.held[:step]
 
     def _write(self, ids: np.ndarray, n: int) -> None:
-        mask = (np.arange(len(ids)) < n).astype(np.uint8)
+        mask = np.arange(len(ids)) < n
         lists = [
             pa.FixedSizeListArray.from_arrays(pa.array(values), self.length) for values in (ids, mask)
         ]
@@ -265,11 +265,11 @@ class SequenceFile:
         return self.batches[batch].column(column).flatten()
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of one sequence, both in the file's own memory."""
+        """Ids of one sequence, in the file's own memory, and its mask, made of the file's bits."""
         b = int(np.searchsorted(self.begins, i, "right")) - 1
         at = (i - int(self.begins[b])) * self.length
         ids = self._values(b, "ids").slice(at, self.length).to_numpy()
-        return ids, self._values(b, "mask").slice(at, self.length).to_numpy().view(np.bool_)
+        return ids, self._values(b, "mask").slice(at, self.length).to_numpy(zero_copy_only=False)
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """Consecutive ids, over the borders of sequences and batches."""
@@ -284,7 +284,7 @@ class SequenceFile:
 
     def n_ids(self) -> int:
         """Ids that are no padding."""
-        return sum(int(self._values(b, "mask").to_numpy().sum(dtype=np.int64)) for b in range(len(self.batches)))
+        return sum(int(self._values(b, "mask").true_count) for b in range(len(self.batches)))
 
 
 def read_documents(files: DataFrame, folder: str) -> DataFrame:
