@@ -64,6 +64,11 @@ def parse_records(records: DataFrame) -> DataFrame:
     )
 
 
+def type_records(records: DataFrame) -> DataFrame:
+    """The case table's columns and the partition columns, one row for each record, copies included."""
+    return records.transform(parse_records).drop("raw").transform(lower_names).transform(add_month_partitions)
+
+
 def finish_model(parsed: DataFrame) -> DataFrame:
     """Distinct rows; the partition columns are copies and added afterwards."""
     return parsed.drop("raw").transform(lower_names).transform(dedupe).transform(add_month_partitions)
