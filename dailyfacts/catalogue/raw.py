@@ -160,15 +160,27 @@ def write_dirty_documents(orders: DataFrame, input_path: str) -> str:
     return path
 
 
+def document_lines(orders: DataFrame) -> DataFrame:
+    """All case records as the lines of one document, in one task.
+
+    Lines pass through that task one by one: their number, which is counted before, tells the
+    last one, so that nothing is sorted to have the end at the end.
+    """
+    last = orders.count() - 1
+    if last < 0:
+        return orders.sparkSession.range(1).select(F.lit('{"records": []}').alias("value"))
+    lines = case_records(orders).select(F.to_json("record").alias("value")).coalesce(1)
+    # Numbers of the one task, from 0 without gaps.
+    numbered = lines.select("value", F.monotonically_increasing_id().alias("line"))
+    begin = F.when(F.col("line") == 0, '{"records": [').otherwise(",")
+    end = F.when(F.col("line") == last, "\n]}").otherwise("")
+    return numbered.select(F.concat(begin, "value", end).alias("value"))
+
+
 def write_split_document(orders: DataFrame, input_path: str) -> str:
     """All case records as one document in one file, which one task writes line by line."""
     path = f"{input_path}/{cases.INPUT}"
-    records = case_records(orders).select(F.to_json("record").alias("value"))
-    # The first line is the one with number 0 of the one task.
-    comma = F.when(F.monotonically_increasing_id() > 0, ",").otherwise('{"records": [')
-    lines = records.coalesce(1).select(F.concat(comma, "value").alias("value"), F.lit(0).alias("part"))
-    end = orders.sparkSession.range(1).select(F.lit("]}").alias("value"), F.lit(1).alias("part"))
-    lines.union(end).coalesce(1).sortWithinPartitions("part").select("value").write.text(path)
+    document_lines(orders).coalesce(1).write.text(path)
     return path
 
 

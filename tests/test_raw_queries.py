@@ -1,9 +1,13 @@
 """Registered queries on tables that sf0.1 is not like: copies of rows, few rows, none."""
 
+import json
+
 import compare
 import pytest
+from helpers import executed_plan
 
 import __spark_entry__ as contract
+from dailyfacts.catalogue.raw import document_lines
 
 ORDER = "{key}, {customer}, 'O', {price}D, timestamp_ntz '1996-03-0{day} 00:00:00', '5-LOW'"
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -26,3 +30,13 @@ def test_records_that_become_equal_rows_stay(spark, tmp_path, name):
     df = contract.queries()[name](spark, sf_dir)
     assert compare.compare(df, compare.connect(sf_dir), contract.oracle_sql()[name]) == ""
     assert df.count() == 6
+
+
+def test_the_one_document_is_written_without_a_sort(spark, tmp_path):
+    orders = spark.read.parquet(put_orders(spark, tmp_path, [{"key": k, "customer": k, "price": k, "day": 1} for k in range(9)]))
+    for rows in (orders, orders.repartition(3), orders.limit(1), orders.limit(0)):
+        lines = document_lines(rows)
+        document = json.loads("\n".join(row["value"] for row in lines.collect()))
+        assert len(document["records"]) == rows.count()
+        assert lines.rdd.getNumPartitions() <= 1 or not document["records"]
+        assert "Sort" not in executed_plan(lines)
