@@ -7,11 +7,15 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from math import ceil
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _MB = 1024 * 1024
 
+# Names of compressed files, and how many times larger their text is at least.
+_COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
+_EXPANDS = 8
+
 
 def build_session(
     app_name: str = "dailyfacts",
@@ -40,10 +44,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _listed(spark: SparkSession, path) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+
+
 def input_bytes(spark: SparkSession, path) -> int:
     """Total size of the files under ``path``; they are listed, not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return _listed(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def size_for_input(
@@ -61,13 +68,22 @@ def size_for_input(
     small but never splits those of an aggregate. Past the two limits partitions and
     splits grow instead, since the driver keeps a record per split of all partitions.
     Partitions are only ever raised, and a split size that was set is left alone.
+
+    Compressed files count for the text in them. They are not split but put together in
+    splits by their size on disk, so that splits are made smaller for them.
     """
-    total = input_bytes(spark, path)
+    packed = F.col("path").rlike(_COMPRESSED)
+    sizes = _listed(spark, path).select(F.when(packed, F.col("length")).otherwise(0).alias("packed"), "length")
+    on_disk, compressed = sizes.agg(
+        F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.sum("packed"), F.lit(0))
+    ).first()
+    total = on_disk + compressed * (_EXPANDS - 1)
     partitions = min(ceil(total / partition_bytes), max_partitions)
     if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    split = ceil(total / max_splits)
-    if split > 128 * _MB and "spark.sql.files.maxPartitionBytes" not in spark.conf.getAll:
+    usual = 128 * _MB // _EXPANDS if compressed else 128 * _MB
+    split = max(ceil(on_disk / max_splits), usual)
+    if split != 128 * _MB and "spark.sql.files.maxPartitionBytes" not in spark.conf.getAll:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
 
 

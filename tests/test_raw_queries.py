@@ -1,13 +1,17 @@
 """Registered queries on tables that sf0.1 is not like: copies of rows, few rows, none."""
 
 import json
+from pathlib import Path
 
 import compare
 import pytest
 from helpers import executed_plan
 
 import __spark_entry__ as contract
+from dailyfacts.catalogue import raw
 from dailyfacts.catalogue.raw import document_lines
+from dailyfacts.session import input_bytes, sized_for
+from dailyfacts.sources import read_flight_files
 
 ORDER = "{key}, {customer}, 'O', {price}D, timestamp_ntz '1996-03-0{day} 00:00:00', '5-LOW'"
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -40,3 +44,27 @@ def test_the_one_document_is_written_without_a_sort(spark, tmp_path):
         assert len(document["records"]) == rows.count()
         assert lines.rdd.getNumPartitions() <= 1 or not document["records"]
         assert "Sort" not in executed_plan(lines)
+
+
+def test_flight_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw, "LINES", 500)
+    lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(1200).repartition(1)
+    for name, write, times in (("a", raw.write_flight_files, 2), ("b", raw.write_broken_flight_files, 1)):
+        path = write(lineitem, str(tmp_path / name))
+        files = [p for p in Path(path).iterdir() if p.name.startswith("part-")]
+        assert files and all(p.suffix == ".gz" for p in files)
+        rows = [spark.read.csv(str(p), header=True).count() for p in files]
+        assert max(rows) == 500 and sum(rows) == 1200 * times
+    twice = read_flight_files(spark, str(tmp_path / "a/flights")).groupBy("TAIL_NUM", "FL_DATE", "ORIGIN_AIRPORT_ID").count()
+    assert twice.where("count % 2 = 1").isEmpty()
+
+
+def test_jobs_are_sized_by_the_text_in_compressed_files(spark, tmp_path):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    spark.range(20_000).selectExpr("cast(id as string)").coalesce(1).write.text(str(tmp_path / "t"), compression="gzip")
+    size = input_bytes(spark, str(tmp_path))
+    before = [spark.conf.get(k) for k in keys]
+    with sized_for(spark, str(tmp_path), partition_bytes=size // 10):
+        assert int(spark.conf.get(keys[0])) >= 70
+        assert int(spark.conf.get(keys[1])) == 16 << 20
+    assert [spark.conf.get(k) for k in keys] == before
