@@ -65,8 +65,9 @@ def as_keys(
     Codes are text; for an integer type they are cast, and rows whose codes are no integers
     or null go, as they match nothing. One pass over all lookups proves that codes are unique
     after the cast (``7`` and ``07`` are not) and measures them: the smallest ones are marked
-    for broadcast as long as they are within ``limit`` together, the others are left to the
-    planner and joined by shuffle.
+    for broadcast as long as they are within ``limit`` together, the others are joined by shuffle.
+    Where the lookup's part in each partition of the shuffle is within ``limit`` too, it is marked
+    to be hashed there, so that the fact is not sorted; codes are unique, so the parts are even.
     """
     coded = {
         name: lookup.select(
@@ -95,6 +96,8 @@ def as_keys(
         left -= sizes[name]
         if left >= 0:
             coded[name] = F.broadcast(coded[name])
+        elif sizes[name] <= limit * int(coded[name].sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            coded[name] = coded[name].hint("shuffle_hash")
     return coded
 
 

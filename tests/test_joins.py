@@ -68,6 +68,17 @@ def test_descriptions_by_both_ways(spark):
     assert rows(with_description(codes, names, "cancellation_code")) == [("A", "Carrier"), ("B", None)]
 
 
+def test_a_large_lookup_is_hashed_where_it_is_shuffled(spark):
+    fact = spark.range(50).selectExpr("cast(id % 7 as int) as airport")
+    lookup = spark.range(30).selectExpr("cast(id as string) as code", "concat('d', id) as description")
+    large = with_description(fact, lookup, "airport", limit=1000)
+    plan = executed_plan(large)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(large) == sorted((i % 7, f"d{i % 7}") for i in range(50))
+    # Parts that may not fit are left to the planner.
+    assert "shuffle_hash" not in with_description(fact, lookup, "airport", limit=0)._jdf.queryExecution().analyzed().toString()
+
+
 def test_broadcast_is_measured(spark):
     lookup = spark.createDataFrame([("1", "four"), (None, None)], "code string, description string")
     assert value_bytes(lookup) == 5 + 2 * 32
