@@ -21,11 +21,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -47,7 +47,7 @@ SLICE = 1 << 20
 
 
 def cuts_before_blanks(described: dict) -> bool:
-    """Whether a tokenizer file ends tokens before each blank that text follows.
+    """Whether a tokenizer file ends tokens before each blank or line feed that text follows.
 
     That is known of byte-level pair encodings that split by their usual pattern, where nothing
     normalises the text before and no added token takes blanks beside it.
@@ -59,12 +59,24 @@ def cuts_before_blanks(described: dict) -> bool:
     return plain and usual and not greedy and (described.get("model") or {}).get("type") == "BPE"
 
 
+#: Places before a blank or a line feed that text follows.
+_CUT = re.compile(r"(?=[ \n]\S)")
+
+
+def _stands_alone(word: str) -> bool:
+    """Whether a word of a text split at its blanks is all that stands up to the next cut."""
+    return not (word[1:2] if word[:1] == "\n" else word[:1]).isspace() and word not in ("", "\n")
+
+
 class _Encoder:
     """Ids as little-endian bytes, by the tokenizers library.
 
-    Where the file says so (:func:`cuts_before_blanks`), no token spans a place before a
-    blank that text follows; a text is then encoded in pieces that start there, and pieces met
+    Where the file says so (:func:`cuts_before_blanks`), no token spans a place before a blank or a
+    line feed that text follows; a text is then encoded in pieces that start there, and pieces met
     before are not encoded again. Texts in which an added token stands are encoded whole.
+
+    Pieces are remembered without their blank. Those behind a line feed begin with it; what comes
+    before the first place is remembered apart.
     """
 
     def __init__(self, path: str):
@@ -78,43 +90,44 @@ class _Encoder:
         self.added = [token["content"] for token in described.get("added_tokens") or []]
         self.type, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         self.known: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {"": b""}
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        parts = text.split(" ")
-        head, rest = parts[0], parts[1:]
-        plain = all(rest) and not any(map(str.isspace, [p[0] for p in rest]))
-        if plain:
-            return [head, *[f" {p}" for p in rest]] if head else [f" {p}" for p in rest]
-        out, held = [], head
-        for part in rest:
-            if part and not part[0].isspace():
-                if held:
-                    out.append(held)
-                held = f" {part}"
-            else:
-                held += f" {part}"
-        return [*out, held] if held else out
+        """The head of a text and its pieces as they are remembered."""
+        head, *rest = _CUT.split(text)
+        return [head, *[p[1:] if p[0] == " " else p for p in rest]]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, f.ids).tobytes() for f in found]
 
+    def _new(self, cut: list[list[str]]) -> set[str]:
+        return set().union(*cut).difference(self.known)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         whole = [i for i, t in enumerate(texts) if not self.cuts or any(a in t for a in self.added)]
         done = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
-        cut = [[] if i in done else self.pieces(t) for i, t in enumerate(texts)]
+        # A blank before each line feed; a second one there leaves an empty word, which shows it.
+        cut = [[] if i in done else t.replace("\n", " \n").split(" ") for i, t in enumerate(texts)]
+        heads = [words.pop(0) if words else "" for words in cut]
         # Distinct pieces first: most come many times among these texts.
-        here = dict.fromkeys(chain.from_iterable(cut))
-        new = [p for p in here if p not in self.known]
-        here.update(zip(new, self._encode(new), strict=True))
-        for piece, ids in here.items():
-            if ids is None:
-                here[piece] = self.known[piece]
-            else:
-                self.known[piece] = ids
+        new = self._new(cut)
+        odd = {word for word in new if not _stands_alone(word)}
+        if odd:
+            for i, words in enumerate(cut):
+                if not odd.isdisjoint(words):
+                    heads[i], *cut[i] = self.pieces(texts[i])
+            new = self._new(cut)
+        ordered = list(new)
+        self.known.update(zip(ordered, self._encode([w if w[0] == "\n" else f" {w}" for w in ordered]), strict=True))
+        begins = list(set(heads).difference(self.heads))
+        self.heads.update(zip(begins, self._encode(begins), strict=True))
+        ids = self.known.__getitem__
+        out = [done.get(i) or self.heads[heads[i]] + b"".join(map(ids, words)) for i, words in enumerate(cut)]
         forget_oldest(self.known, REMEMBERED)
-        return [done.get(i) or b"".join(map(here.__getitem__, pieces)) for i, pieces in enumerate(cut)]
+        forget_oldest(self.heads, REMEMBERED)
+        return out
 
 
 def _encoder(path: str) -> _Encoder:

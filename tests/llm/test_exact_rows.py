@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 import zlib
 
@@ -232,6 +233,23 @@ def test_only_known_tokenizer_files_are_cut_at_blanks():
         assert not arrow_sequences.cuts_before_blanks({**described, **change})
 
 
+def test_pieces_end_at_line_feeds_and_hold_the_library_ids():
+    encoder = arrow_sequences._Encoder(TOKENIZER)
+    spaces = ["", " ", "  ", "\n", "\n\n", " \n", "\n ", " \n \n", "\t", "\n\t", "\t\n", "　", "\x1c", "\x85\n", "\r\n"]
+    words = ["it's", "42", "é.", "word", "<|endoftext|>"]
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(spaces) + rng.choice(words[:4]) for _ in range(9)) + rng.choice(spaces) for _ in range(3000)]
+    texts += [*spaces, "a\nb c\nd", *[a + w + b for a in spaces for w in words for b in spaces]]
+    for _ in range(2):  # The second time all pieces are known.
+        for start in range(0, len(texts), 500):
+            part = texts[start : start + 500]
+            whole = encoder.tokenizer.encode_batch(part, add_special_tokens=False)
+            assert [np.frombuffer(ids, encoder.type).tolist() for ids in encoder(part)] == [e.ids for e in whole]
+    fresh = arrow_sequences._Encoder(TOKENIZER)
+    fresh(["one end.\nbegin", "other end.\nbegin"])
+    assert set(fresh.known) == {"end.", "\nbegin"}
+
+
 # Shards.
 
 
