@@ -106,36 +106,47 @@ def _write_flight_rows(rows: DataFrame, input_path: str) -> str:
     return path
 
 
+# Columns of an order that its record is made of.
+_ORDER = ["o_orderdate", "o_totalprice", "o_custkey", "o_orderpriority", "o_orderstatus"]
+
+
+def _record(order: Callable[[str], Column]) -> Column:
+    day, customer = order("o_orderdate").cast("date"), order("o_custkey")
+    deaths = F.when(customer % 10 == 0, "").otherwise((customer % 100000).cast("string"))
+    return F.struct(
+        F.date_format(day, "dd/MM/yyyy").alias("dateRep"),
+        F.date_format(day, "dd").alias("day"),
+        F.month(day).alias("month"),
+        F.year(day).cast("string").alias("year"),
+        order("o_totalprice").cast("decimal(18,2)").cast("string").alias("cases"),
+        deaths.alias("deaths"),
+        order("o_orderpriority").alias("countriesAndTerritories"),
+        F.concat(F.lit("G"), (customer % 100).cast("string")).alias("geoId"),
+        order("o_orderstatus").alias("continentExp"),
+    )
+
+
 def case_records(orders: DataFrame, *more: str) -> DataFrame:
     """One raw record per order; counts are text, some blank, some with a decimal tail.
 
     Columns of the orders named in ``more`` come along.
     """
-    day = F.col("o_orderdate").cast("date")
-    return orders.select(
-        F.struct(
-            F.date_format(day, "dd/MM/yyyy").alias("dateRep"),
-            F.date_format(day, "dd").alias("day"),
-            F.month(day).alias("month"),
-            F.year(day).cast("string").alias("year"),
-            F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("cases"),
-            F.expr("if(o_custkey % 10 = 0, '', cast(o_custkey % 100000 as string))").alias("deaths"),
-            F.col("o_orderpriority").alias("countriesAndTerritories"),
-            F.expr("concat('G', cast(o_custkey % 100 as string))").alias("geoId"),
-            F.col("o_orderstatus").alias("continentExp"),
-        ).alias("record"),
-        *more,
-    )
+    return orders.select(_record(F.col).alias("record"), *more)
+
+
+def case_documents(orders: DataFrame, per_document: int) -> DataFrame:
+    """Documents of a bounded number of records, which are made when the orders are together."""
+    document = F.expr(f"monotonically_increasing_id() div {per_document}")
+    numbered = orders.select(F.struct(*_ORDER).alias("order"), document.alias("document"))
+    together = numbered.groupBy("document").agg(F.collect_list("order").alias("orders"))
+    return together.select(F.transform("orders", lambda order: _record(lambda name: order[name])).alias("records"))
 
 
 def write_case_documents(orders: DataFrame, input_path: str, per_document: int = 50_000) -> str:
     """Case records as compressed files of one document each, with a bounded number of records."""
-    numbered = case_records(orders).withColumn(
-        "document", F.expr(f"monotonically_increasing_id() div {per_document}")
-    )
-    documents = numbered.groupBy("document").agg(F.collect_list("record").alias("records"))
     path = f"{input_path}/{cases.INPUT}"
-    documents.select("records").write.option("maxRecordsPerFile", 1).json(path, compression="gzip")
+    documents = case_documents(orders, per_document)
+    documents.write.option("maxRecordsPerFile", 1).json(path, compression="gzip")
     return path
 
 

@@ -46,6 +46,20 @@ def test_the_one_document_is_written_without_a_sort(spark, tmp_path):
         assert "Sort" not in executed_plan(lines)
 
 
+def test_documents_are_made_of_orders_that_are_together(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    documents = raw.case_documents(orders, 100)
+    assert documents.where("size(records) > 100").isEmpty()
+    records = documents.selectExpr("inline(records)")
+    plain = raw.case_records(orders).select("record.*")
+    assert records.dtypes == plain.dtypes
+    assert records.exceptAll(plain).isEmpty() and plain.exceptAll(records).isEmpty()
+    # What is shuffled is the orders, not the longer records.
+    plan = documents._jdf.queryExecution().optimizedPlan().toString()
+    together, before = plan[plan.index("Aggregate") :].split("\n", 1)
+    assert "date_format" in together and "order" in before and "date_format" not in before
+
+
 def test_flight_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(raw, "LINES", 500)
     lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(1200).repartition(1)
