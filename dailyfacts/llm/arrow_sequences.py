@@ -68,6 +68,59 @@ def _stands_alone(word: str) -> bool:
     return not (word[1:2] if word[:1] == "\n" else word[:1]).isspace() and word not in ("", "\n")
 
 
+class _OddPiece(Exception):
+    """A text is not split into its pieces at blanks and line feeds alone."""
+
+
+#: Letters, and marks behind them, which the usual pattern makes a word each: no apostrophe, which
+#: it may take together with letters.
+_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+_LETTERS = "".join(chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha())
+
+
+class _Pieces(dict):
+    """Ids of pieces by the pieces as they are remembered; new ones are encoded when they are asked for.
+
+    Letters are one word of the pre-tokenizer, with the blank before them, and marks behind them the
+    next; so the library's model gets letters straight, in the pre-tokenizer's own characters.
+    """
+
+    def __init__(self, tokenizer, code: str, cuts: bool):
+        super().__init__()
+        self.tokenizer, self.code, self.odd = tokenizer, code, True
+        self.tokenize = tokenizer.model.tokenize
+        shown = tokenizer.pre_tokenizer if cuts else None
+        self.letters = {ord(c): shown.pre_tokenize_str(c)[0][0] for c in _LETTERS} if shown else {}
+        self.blank = shown.pre_tokenize_str(" a")[0][0][:-1] if shown else " "
+        self.marks: dict[str, bytes] = {}
+
+    def ids(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, letters: str, before: str) -> bytes:
+        shown = letters if letters.isascii() else letters.translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenize(before + shown)]).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        plain = _PLAIN.fullmatch(piece)
+        if plain:
+            line, letters, marks = plain.groups()
+            for known in (line, marks):
+                if known not in self.marks:
+                    self.marks[known] = self.ids(known)
+            if line:
+                ids = self.marks[line] + self.word(letters, "")
+            else:
+                ids = marks and self.get(letters) or self.word(letters, self.blank)
+            ids += self.marks[marks]
+        elif self.odd and not _stands_alone(piece):
+            raise _OddPiece
+        else:
+            ids = self.ids(piece if piece[0] == "\n" else f" {piece}")
+        self[piece] = ids
+        return ids
+
+
 class _Encoder:
     """Ids as little-endian bytes, by the tokenizers library.
 
@@ -89,7 +142,7 @@ class _Encoder:
         self.cuts = cuts_before_blanks(described)
         self.added = [token["content"] for token in described.get("added_tokens") or []]
         self.type, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
-        self.known: dict[str, bytes] = {}
+        self.known = _Pieces(self.tokenizer, self.code, self.cuts)
         self.heads: dict[str, bytes] = {"": b""}
 
     @staticmethod
@@ -102,31 +155,31 @@ class _Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, f.ids).tobytes() for f in found]
 
-    def _new(self, cut: list[list[str]]) -> set[str]:
-        return set().union(*cut).difference(self.known)
+    def _cut(self, text: str) -> bytes:
+        """Ids of a text, by its pieces."""
+        ids = self.known.__getitem__
+        # A blank before each line feed; a second one there leaves an empty word, which shows it.
+        head, *words = text.replace("\n", " \n").split(" ")
+        try:
+            rest = b"".join(map(ids, words))
+        except _OddPiece:
+            head, *words = self.pieces(text)
+            self.known.odd = False
+            try:
+                rest = b"".join(map(ids, words))
+            finally:
+                self.known.odd = True
+        if head not in self.heads:
+            self.heads[head] = self.known.ids(head)
+        return self.heads[head] + rest
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         whole = [i for i, t in enumerate(texts) if not self.cuts or any(a in t for a in self.added)]
         done = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
-        # A blank before each line feed; a second one there leaves an empty word, which shows it.
-        cut = [[] if i in done else t.replace("\n", " \n").split(" ") for i, t in enumerate(texts)]
-        heads = [words.pop(0) if words else "" for words in cut]
-        # Distinct pieces first: most come many times among these texts.
-        new = self._new(cut)
-        odd = {word for word in new if not _stands_alone(word)}
-        if odd:
-            for i, words in enumerate(cut):
-                if not odd.isdisjoint(words):
-                    heads[i], *cut[i] = self.pieces(texts[i])
-            new = self._new(cut)
-        ordered = list(new)
-        self.known.update(zip(ordered, self._encode([w if w[0] == "\n" else f" {w}" for w in ordered]), strict=True))
-        begins = list(set(heads).difference(self.heads))
-        self.heads.update(zip(begins, self._encode(begins), strict=True))
-        ids = self.known.__getitem__
-        out = [done.get(i) or self.heads[heads[i]] + b"".join(map(ids, words)) for i, words in enumerate(cut)]
+        out = [done[i] if i in done else self._cut(t) for i, t in enumerate(texts)]
         forget_oldest(self.known, REMEMBERED)
         forget_oldest(self.heads, REMEMBERED)
+        forget_oldest(self.known.marks, REMEMBERED)
         return out
 
 

@@ -250,6 +250,22 @@ def test_pieces_end_at_line_feeds_and_hold_the_library_ids():
     assert set(fresh.known) == {"end.", "\nbegin"}
 
 
+def test_letters_and_marks_go_straight_to_the_model_with_the_library_ids():
+    encoder = arrow_sequences._Encoder(TOKENIZER)
+    rng = random.Random(7)
+    letters = ["the", "Été", "ñ", "garçon", "Straße", "×", "ł", "x", "zählen", "K"]
+    marks = ["", ".", "...", "'s", "'", "$$$", "_", "!?", "#%&", "-", "^`~", "7", "\x7f", "€", "(a)", "@b.c"]
+    texts = [
+        "".join(rng.choice([" ", " ", "\n", ""]) + rng.choice(letters) * rng.randint(1, 3) + rng.choice(marks) for _ in range(8))
+        for _ in range(3000)
+    ]
+    whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(ids, encoder.type).tolist() for ids in encoder(texts)] == [e.ids for e in whole]
+    plain = arrow_sequences._Encoder(TOKENIZER)
+    plain.known.ids = {"": b"", ".": b"\x0d\x00"}.get  # Words themselves do not come here.
+    assert len(plain([" été le mot."])[0]) > 2 and set(plain.known) == {"été", "le", "mot."}
+
+
 # Shards.
 
 
