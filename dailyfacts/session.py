@@ -87,17 +87,24 @@ def size_for_input(
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
 
 
-_SIZES = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+# Removes shuffle files when the query that wrote them ends, and not some time after.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_SIZES = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes", _CLEANUP)
 
 
 @contextmanager
 def sized_for(spark: SparkSession, paths: str | Sequence[str], **limits: int) -> Iterator[None]:
     """Sizes for the files at ``paths`` within a block; the session's own are put back after it.
 
+    Within it, each write removes its shuffle files at its end: else those of all steps would lie
+    on the executors' disks together, until the driver's memory is next collected.
+
     Settings hold for a whole session: jobs that run at once share one block.
     """
     before = {key: value for key, value in spark.conf.getAll.items() if key in _SIZES}
     size_for_input(spark, paths, **limits)
+    if _CLEANUP not in before:
+        spark.conf.set(_CLEANUP, "true")
     try:
         yield
     finally:
@@ -122,3 +129,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not set_before.isDefined() and base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{base} is no shared folder: set spark.checkpoint.dir to one")
     return f"{base.rstrip('/')}/dailyfacts-{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A new scratch folder that is removed, with all that is in it, at the end of the block."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
