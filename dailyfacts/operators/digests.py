@@ -54,19 +54,19 @@ def _stored(df: DataFrame, path: str) -> DataFrame | None:
     return stored.join(now, _same_month(stored, now) & (stored["files"] == now["files"]), "left_semi")
 
 
-def _scratch(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
+def _scratch(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def changed_months(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+def changed_months(df: DataFrame, path: str, scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows of the months of ``df`` that differ from what is at ``path``, and their digests.
 
-    ``df`` is computed once, into the scratch folder. Months are few, as the calendar bounds them,
-    so that lists of them are broadcast.
+    ``df`` is computed once, into a ``scratch`` folder, which both results are read from. Months are
+    few, as the calendar bounds them, so that lists of them are broadcast.
     """
-    rows = _scratch(df, "months")
+    scratch = scratch or scratch_path(df.sparkSession, "months")
+    rows = _scratch(df, f"{scratch}/rows")
     new, old = digests(rows), _stored(df, path)
     if old is not None:
         known = [new[name].eqNullSafe(old[name]) for name in _DIGEST]
@@ -74,7 +74,7 @@ def changed_months(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
         for part in known:
             same = same & part
         new = new.join(F.broadcast(old), same, "left_anti")
-    months = _scratch(new, "digests")
+    months = _scratch(new, f"{scratch}/digests")
     changed = months.select(*MONTH_PARTITIONS)
     return rows.join(F.broadcast(changed), _same_month(rows, changed), "left_semi"), months
 

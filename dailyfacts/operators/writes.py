@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from dailyfacts.operators.digests import changed_months, record_digests
 from dailyfacts.operators.layout import cluster_for_write
 from dailyfacts.schemas import MONTH_PARTITIONS
+from dailyfacts.session import scratch_folder
 
 
 def write_by_month(
@@ -40,9 +41,10 @@ def write_by_month(
 
 
 def _write_changed(df: DataFrame, path: str, cluster_by: Sequence[str]) -> int:
-    rows, months = changed_months(df, path)
-    n = months.count()
-    if n:
-        write_by_month(rows, path, replace="months", cluster_by=cluster_by)
-        record_digests(months, path)
+    with scratch_folder(df.sparkSession, "months") as scratch:
+        rows, months = changed_months(df, path, scratch)
+        n = months.count()
+        if n:
+            write_by_month(rows, path, replace="months", cluster_by=cluster_by)
+            record_digests(months, path)
     return n

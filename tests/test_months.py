@@ -176,6 +176,27 @@ def test_sizes_hold_for_a_block(spark, tmp_path):
     assert keys[1] not in spark.conf.getAll
 
 
+def test_shuffle_files_go_when_a_write_of_a_block_ends(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    (tmp_path / "f.csv").write_bytes(b"x")
+    with sized_for(spark, str(tmp_path)):
+        before = shuffled()
+        write_by_month(month_rows(spark, [("a", 1.0, 2020, 1), ("b", 2.0, 2020, 2)]).dropDuplicates(), str(tmp_path / "m"))
+        assert not shuffled() - before
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+
+
+def test_changed_months_leave_no_scratch_files(spark, tmp_path):
+    before = set(Path(scratch_path(spark, "x").removeprefix("file:")).parent.glob("dailyfacts-*"))
+    for rows_now in ([("a", 1.0, 2020, 1)], [("a", 1.0, 2020, 1)], [("b", 1.0, 2020, 1)]):
+        write_by_month(month_rows(spark, rows_now), str(tmp_path / "m"), replace="changed")
+    assert set(Path(scratch_path(spark, "x").removeprefix("file:")).parent.glob("dailyfacts-*")) <= before
+
+
 def test_jobs_are_sized_for_their_own_files(spark, tmp_path, monkeypatch):
     write_flights(tmp_path, [flight_line()])
     (tmp_path / "other.bin").write_bytes(b"x" * 10_000_000)
