@@ -16,6 +16,9 @@ from dailyfacts.llm.common import kept
 
 #: Folder of the public tokenizers' files, on every machine.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: Distinct words that a worker remembers the ids of, and bytes of text that it encodes in one go.
+REMEMBERED = 100_000
+SLICE = 1 << 18
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +49,13 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, n_ids, round_trip`` of every row."""
-    return piece_codec.encode(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    """``doc_id, ids, n_ids, round_trip`` of every row.
+
+    Executors still hold what the stages before took, so that workers take less here than by themselves.
+    """
+    return piece_codec.encode(
+        docs, f"{TOKENIZERS}/piece_bpe_32k.model", remembered=REMEMBERED, slice_bytes=SLICE
+    )
 
 
 STAGES = [

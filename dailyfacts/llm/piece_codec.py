@@ -88,9 +88,12 @@ def is_bpe(model: bytes) -> bool:
 
 
 class Codec:
-    """Encoder and decoder of one model file; ``bpe`` overrides the kind that the file says."""
+    """Encoder and decoder of one model file; ``bpe`` overrides the kind that the file says.
 
-    def __init__(self, path: str, bpe: bool | None = None):
+    It remembers the ids of ``remembered`` words at most between calls.
+    """
+
+    def __init__(self, path: str, bpe: bool | None = None, remembered: int = REMEMBERED):
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
@@ -128,6 +131,7 @@ class Codec:
         self.unknown_score = min(self.scores, default=0.0) - 10.0
         self.type, self.code = ("<u2", "H") if n <= 1 << 16 else ("<u4", "I")
         self.known: dict[str, bytes] = {}
+        self.remembered = remembered
         self.names = {number: piece for piece, number in self.pieces.items()}
         #: By the ids of two pieces, the left one -1 for none.
         self.pairs: dict[int, bool] = {}
@@ -320,7 +324,7 @@ class Codec:
                 here[word] = ids
         for word, numbers in self.word_ids(new):
             here[word] = known[word] = array(self.code, numbers).tobytes()
-        forget_oldest(known, REMEMBERED)
+        forget_oldest(known, self.remembered)
         return [b"".join(map(here.__getitem__, words)) for words in cut]
 
     def decode(self, ids: bytes) -> str:
@@ -330,17 +334,18 @@ class Codec:
         return text[1:] if text.startswith(" ") else text
 
 
-def _codec(path: str) -> Codec:
+def _codec(path: str, remembered: int = REMEMBERED) -> Codec:
     cache = process_cache("piece-codecs")
     if path not in cache:
         cache[path] = Codec(path)
+    cache[path].remembered = remembered
     return cache[path]
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Runs of about ``SLICE`` bytes of whole texts, and where they begin; null as an empty text."""
+def _slices(texts: pa.Array, size: int) -> Iterator[tuple[int, list[str]]]:
+    """Runs of about ``size`` bytes of whole texts, and where they begin; null as an empty text."""
     sizes = enumerate(binary_length(texts).fill_null(0).to_pylist())
-    for part in chunks(sizes, lambda x: x[1] + 64, SLICE):
+    for part in chunks(sizes, lambda x: x[1] + 64, size):
         yield part[0][0], [t or "" for t in texts.slice(part[0][0], len(part)).to_pylist()]
 
 
@@ -351,19 +356,23 @@ def _lists(values: list[bytes], kind: str) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
 
 
-def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", *,
+    remembered: int = REMEMBERED, slice_bytes: int = SLICE,
+) -> DataFrame:
     """``key, ids, n_ids, round_trip``: the last says whether decoding gives the normalised text.
 
-    ``model`` is the path of a SentencePiece file on every machine.
+    ``model`` is the path of a SentencePiece file on every machine. Workers that remember fewer
+    words and take smaller slices hold less memory and take more time; the ids are the same.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model)
+        codec = _codec(model, remembered)
         # Nothing here makes cycles, and the many small objects keep the collector busy.
         gc.disable()
         for batch in batches:
-            for a, texts in _slices(batch.column("text")):
+            for a, texts in _slices(batch.column("text"), slice_bytes):
                 normal = codec.model.normalize(texts)
                 found = codec.encode_normal(normal)
                 same = [

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dailyfacts.llm import (
@@ -190,6 +191,17 @@ def test_the_window_commits_inside_long_words():
     assert [np.frombuffer(i, codec.type).tolist() for i in codec.encode_normal(normal)] == library.encode(words)
 
 
+def test_few_remembered_words_and_small_slices_give_the_same_ids(spark):
+    texts = [f"Zeile {i} of été{i % 7} and words{i}" for i in range(60)] + [None, "", "Zeile 3"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    small = piece_codec.encode(docs, PIECES, remembered=10, slice_bytes=100)
+    assert sorted(small.collect()) == sorted(piece_codec.encode(docs, PIECES).collect())
+    codec = piece_codec.Codec(PIECES, remembered=10)
+    for part in piece_codec._slices(pa.array(texts), 100):
+        codec.encode(part[1])
+        assert len(codec.known) <= 10
+
+
 def test_words_share_the_places_of_their_beginnings():
     codec, alone = piece_codec.Codec(PIECES), piece_codec.Codec(PIECES)
     rng = np.random.default_rng(11)
