@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dailyfacts.functions import flag_to_int, month_of, rejected, year_of
-from dailyfacts.operators.aggregates import dedupe
+from dailyfacts.operators.aggregates import dedupe, dedupe_in_groups
 from dailyfacts.operators.columns import add_month_partitions, lower_names
 from dailyfacts.operators.report import JobReport, timed
 from dailyfacts.operators.writes import write_by_month
@@ -24,18 +24,41 @@ INPUT = "flights/flights_*_*.csv"
 OUTPUT = "flights_parquet/flights.parquet"
 
 
+def _typed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("CANCELLED", flag_to_int(F.col("CANCELLED"))).transform(lower_names)
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    day = F.col("fl_date")
+    return rows.withColumns({"year": year_of(day), "month": month_of(day)}).transform(add_month_partitions)
+
+
 def model_flights(rows: DataFrame) -> DataFrame:
     """Distinct flight rows with year, month and an integer flag, ready to be written by month.
 
     The dedupe comes before the columns that follow from the date, so that they are not
     shuffled.
     """
-    typed = rows.withColumn("CANCELLED", flag_to_int(F.col("CANCELLED")))
+    return rows.transform(_typed).transform(dedupe).transform(_dated)
+
+
+def _month() -> Column:
+    """A flight's month as one number."""
     day = F.col("fl_date")
-    dated = typed.transform(lower_names).transform(dedupe).withColumns(
-        {"year": year_of(day), "month": month_of(day)}
-    )
-    return dated.transform(add_month_partitions)
+    return year_of(day) * 12 + month_of(day)
+
+
+def months_of(rows: DataFrame) -> DataFrame:
+    """``month, n``: the months of the rows, as numbers, and their rows; of a file only the dates are read."""
+    return rows.groupBy(_month().alias("month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def model_by_month(rows: DataFrame, months: DataFrame) -> DataFrame:
+    """:func:`model_flights` in tasks that hold a month or a part of it each, or several small ones.
+
+    The dedupe and the write by month share this one shuffle. ``months`` are those of the rows.
+    """
+    return rows.transform(_typed).transform(dedupe_in_groups, _month(), months).transform(_dated)
 
 
 def _lost_fields(rows: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
@@ -86,7 +109,12 @@ def load_flights(
     with timed(JobReport(JOB)) as report, sized_for(spark, source) if sized else nullcontext():
         seen = Observation()
         rows = read_flight_files(spark, source, check_header=check_header, raw_line=True)
-        model = model_flights(_observe_rejects(rows, seen))
+        observed = _observe_rejects(rows, seen)
+        if tuple(cluster_by) == MONTH_PARTITIONS:
+            dates = read_flight_files(spark, source, check_header=False)
+            model, cluster_by = model_by_month(observed, months_of(dates)), ()
+        else:
+            model = model_flights(observed)
         model.printSchema()
         path = f"{output_path}/{OUTPUT}"
         report.months = write_by_month(model, path, cluster_by=cluster_by, replace=replace)

@@ -7,13 +7,14 @@ from helpers import RECORD, conf, flight_line, write_cases, write_flights, write
 from pyspark.sql import functions as F
 
 from dailyfacts.cli import JOBS, main
+from dailyfacts.operators.aggregates import dedupe_in_groups
 from dailyfacts.operators.publish import hide
 from dailyfacts.operators.quality import QualityError
 from dailyfacts.plans import cases, flights
 from dailyfacts.plans.daily import COUNTRY, refresh_departures, store_departures
 from dailyfacts.plans.describe import describe_flights_of_tables
 from dailyfacts.plans.reload import reload_all
-from dailyfacts.schemas import CASES, FLIGHTS, LOOKUPS_BY_FLIGHT_COLUMN, TABLES
+from dailyfacts.schemas import CASES, FLIGHTS, LOOKUPS_BY_FLIGHT_COLUMN, MONTH_PARTITIONS, TABLES
 from dailyfacts.session import build_session, input_bytes, scratch_path, size_for_input
 from dailyfacts.sources import read_model
 
@@ -221,6 +222,33 @@ def test_last_months_replace_only_themselves(spark, tmp_path):
         assert rows(model.select("month", "tail_num")) == [(2, "N1"), (3, "M1"), (3, "M2")]
 
 
+def test_a_flights_load_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
+    lines = [flight_line(DEP_DELAY="0.0"), flight_line(DEP_DELAY="-0.0"), flight_line(DEP_DELAY="late"), flight_line(DEP_DELAY="")]
+    write_flights(tmp_path, [*lines, *lines, flight_line(FL_DATE=""), flight_line(FL_DATE="2020-04-01")])
+    calls, write = [], flights.write_by_month
+    monkeypatch.setattr(flights, "write_by_month", lambda df, *a, **k: calls.append((df, k)) or write(df, *a, **k))
+    found = []
+    for replace, keys in (("all", MONTH_PARTITIONS), ("changed", MONTH_PARTITIONS), ("all", ["origin"]), ("all", [])):
+        report = flights.load_flights(spark, str(tmp_path), f"{tmp_path}/{replace}", replace=replace, cluster_by=keys)
+        assert report.rows_read == 10 and {n: v for n, v in report.rejects.items() if v} == {"dep_delay": 2}
+        found.append(rows(read_model(spark, f"{tmp_path}/{replace}/{flights.OUTPUT}", FLIGHTS, keep_partitions=True)))
+        plan = calls[-1][0]._jdf.queryExecution().executedPlan().toString()
+        assert len(found[-1]) == 4 and found[-1] == found[0]
+        # Other columns than the months' bring rows together for the write once more.
+        assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1
+        assert bool(calls[-1][1]["cluster_by"]) == (keys == ["origin"])
+
+
+def test_large_groups_are_dealt_to_several_tasks_and_small_ones_share(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 900, 1).when(F.col("id") < 990, 2).otherwise(None).cast("int").alias("g"), "id")
+    sizes = df.groupBy("g").count()
+    out = dedupe_in_groups(df.union(df), F.col("g"), sizes, most=300)
+    parts = out.withColumn("part", F.spark_partition_id()).groupBy("g", "part").count().collect()
+    assert out.count() == 1000 and rows(out) == rows(df)
+    assert {(r.g, r.part) for r in parts} == {(1, 0), (1, 1), (1, 2), (2, 3), (None, 3)}
+    assert dedupe_in_groups(df.limit(0), F.col("g"), sizes.limit(0)).count() == 0
+
+
 def test_no_python_in_the_plans(spark, tmp_path):
     write_cases(tmp_path, [RECORD])
     write_flights(tmp_path, [flight_line()])
