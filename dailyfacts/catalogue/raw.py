@@ -94,15 +94,24 @@ def flight_rows(
 def write_flight_files(
     lineitem: DataFrame, input_path: str, change: Mapping[str, Callable[[Column], Column]] | None = None
 ) -> str:
-    """Flight rows, each of them twice, as compressed headered CSV."""
+    """Flight rows, each of them twice, as compressed headered CSV.
+
+    A row's line is made once and written twice, under the header as the name of its column. The
+    writer leaves it as it is: no line holds the separator given here, nor is anything quoted again.
+    """
     rows = flight_rows(lineitem, change)
-    twice = rows.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    return _write_flight_rows(twice, input_path)
+    line = rows.select(F.to_csv(F.struct("*")).alias(",".join(rows.columns)), F.array(F.lit(1), F.lit(2)).alias("_copies"))
+    twice = line.withColumn("_copy", F.explode("_copies")).drop("_copies", "_copy")
+    as_it_is = {
+        "sep": "\u0001", "quote": "", "escape": "", "escapeQuotes": False,
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+    return _write_flight_rows(twice, input_path, **as_it_is)
 
 
-def _write_flight_rows(rows: DataFrame, input_path: str) -> str:
+def _write_flight_rows(rows: DataFrame, input_path: str, **options) -> str:
     path = f"{input_path}/{flights.INPUT.replace('*', '0')}"
-    rows.write.option("maxRecordsPerFile", LINES).csv(path, header=True, compression="gzip")
+    rows.write.options(maxRecordsPerFile=LINES, **options).csv(path, header=True, compression="gzip")
     return path
 
 

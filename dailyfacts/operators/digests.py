@@ -54,19 +54,23 @@ def _stored(df: DataFrame, path: str) -> DataFrame | None:
     return stored.join(now, _same_month(stored, now) & (stored["files"] == now["files"]), "left_semi")
 
 
-def _scratch(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _scratch(df: DataFrame, path: str, *partitions: str) -> DataFrame:
+    df.write.partitionBy(*partitions).parquet(path)
+    # Partition columns come last in a scan; the hashes of a row are over the order of ``df``.
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{name}`" for name in df.columns])
 
 
-def changed_months(df: DataFrame, path: str, scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
+def changed_months(
+    df: DataFrame, path: str, scratch: str | None = None, *, by_month: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """The rows of the months of ``df`` that differ from what is at ``path``, and their digests.
 
     ``df`` is computed once, into a ``scratch`` folder, which both results are read from. Months are
-    few, as the calendar bounds them, so that lists of them are broadcast.
+    few, as the calendar bounds them, so that lists of them are broadcast. With ``by_month`` the rows
+    lie in ``{scratch}/rows`` as the dataset has them, in a folder for each month (:func:`month_folders`).
     """
     scratch = scratch or scratch_path(df.sparkSession, "months")
-    rows = _scratch(df, f"{scratch}/rows")
+    rows = _scratch(df, f"{scratch}/rows", *(MONTH_PARTITIONS if by_month else ()))
     new, old = digests(rows), _stored(df, path)
     if old is not None:
         known = [new[name].eqNullSafe(old[name]) for name in _DIGEST]
@@ -79,6 +83,13 @@ def changed_months(df: DataFrame, path: str, scratch: str | None = None) -> tupl
     return rows.join(F.broadcast(changed), _same_month(rows, changed), "left_semi"), months
 
 
+def month_folders(months: DataFrame) -> list[str]:
+    """Names of the folders that hold ``months`` in a dataset."""
+    found = months.select(*MONTH_PARTITIONS).collect()
+    none = "__HIVE_DEFAULT_PARTITION__"
+    return ["/".join(f"{k}={none if v is None else v}" for k, v in row.asDict().items()) for row in found]
+
+
 def record_digests(months: DataFrame, path: str) -> None:
     """Keep the digests of months that have just been written to ``path``.
 

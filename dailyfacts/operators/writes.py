@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from dailyfacts.operators.digests import changed_months, record_digests
+from dailyfacts.operators.digests import changed_months, month_folders, record_digests
 from dailyfacts.operators.layout import cluster_for_write
 from dailyfacts.schemas import MONTH_PARTITIONS
-from dailyfacts.session import scratch_folder
+from dailyfacts.session import move_into, scratch_folder
 
 
 def write_by_month(
@@ -26,7 +26,8 @@ def write_by_month(
     writes only the months whose rows are others than those written before, and returns
     their number: the files of the other months stay as they are. Rows without a date go
     to the default partition. An empty ``cluster_by`` skips the extra shuffle and
-    leaves one file per task and month.
+    leaves one file per task and month; changed months are then staged beside ``path``
+    and moved, so that no row is written twice.
     """
     if replace == "changed":
         return _write_changed(df, path, cluster_by)
@@ -41,10 +42,16 @@ def write_by_month(
 
 
 def _write_changed(df: DataFrame, path: str, cluster_by: Sequence[str]) -> int:
-    with scratch_folder(df.sparkSession, "months") as scratch:
-        rows, months = changed_months(df, path, scratch)
+    # Rows that need no shuffle are written once: as the dataset has them, to be moved there.
+    spark, placed = df.sparkSession, not cluster_by
+    with scratch_folder(spark, "months", path if placed else None) as scratch:
+        rows, months = changed_months(df, path, scratch, by_month=placed)
         n = months.count()
-        if n:
+        if n and placed:
+            # The mark of a whole write comes last, as Spark has it.
+            move_into(spark, f"{scratch}/rows", path, [*month_folders(months), "_SUCCESS"])
+        elif n:
             write_by_month(rows, path, replace="months", cluster_by=cluster_by)
+        if n:
             record_digests(months, path)
     return n

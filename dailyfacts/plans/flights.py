@@ -16,7 +16,7 @@ from dailyfacts.operators.writes import write_by_month
 from dailyfacts.schemas import FLIGHT_FILE_COLUMNS, MONTH_PARTITIONS, ddl
 from dailyfacts.session import sized_for
 from dailyfacts.sources import read_flight_files
-from dailyfacts.sources.files import RAW_LINE
+from dailyfacts.sources.files import RAW_LINE, read_flight_days
 
 JOB = "load_flights"
 # The pattern keeps the lookup files of the same folder out of the scan.
@@ -49,7 +49,7 @@ def _month() -> Column:
 
 
 def months_of(rows: DataFrame) -> DataFrame:
-    """``month, n``: the months of the rows, as numbers, and their rows; of a file only the dates are read."""
+    """``month, n``: the months of the rows, as numbers, and how many rows they have; only dates are read."""
     return rows.groupBy(_month().alias("month")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -111,8 +111,8 @@ def load_flights(
         rows = read_flight_files(spark, source, check_header=check_header, raw_line=True)
         observed = _observe_rejects(rows, seen)
         if tuple(cluster_by) == MONTH_PARTITIONS:
-            dates = read_flight_files(spark, source, check_header=False)
-            model, cluster_by = model_by_month(observed, months_of(dates)), ()
+            days = read_flight_days(spark, source)
+            model, cluster_by = model_by_month(observed, months_of(days)), ()
         else:
             model = model_flights(observed)
         model.printSchema()

@@ -115,6 +115,12 @@ def sized_for(spark: SparkSession, paths: str | Sequence[str], **limits: int) ->
                 spark.conf.unset(key)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop path of a name, and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared scratch folder.
 
@@ -132,11 +138,39 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
-    """A new scratch folder that is removed, with all that is in it, at the end of the block."""
-    path = scratch_path(spark, label)
+def scratch_folder(spark: SparkSession, label: str, beside: str | None = None) -> Iterator[str]:
+    """A new scratch folder that is removed, with all that is in it, at the end of the block.
+
+    With ``beside`` it is a hidden neighbour of that folder, on the same file system, so that
+    what is written there can be moved into it.
+    """
+    if beside:
+        named, files = _file_system(spark, beside)
+        folder = files.makeQualified(named)
+        path = f"{folder.getParent() or folder}/.{folder.getName()}-{label}-{uuid.uuid4().hex}"
+    else:
+        path = scratch_path(spark, label)
     try:
         yield path
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, files = _file_system(spark, path)
+        files.delete(folder, True)
+
+
+def move_into(spark: SparkSession, source: str, target: str, names: Sequence[str]) -> None:
+    """Move files or folders of ``source`` to ``target``, of the same file system, in place of old ones.
+
+    It takes what the commit of a dynamic overwrite takes: a removal and a rename for each
+    name. Names that ``source`` does not have stay as they are.
+    """
+    for name in names:
+        new, files = _file_system(spark, f"{source}/{name}")
+        if not files.exists(new):
+            continue
+        old, _ = _file_system(spark, f"{target}/{name}")
+        files.delete(old, True)
+        files.mkdirs(old.getParent())
+        if not files.rename(new, old):
+            raise OSError(f"{new} could not be moved to {old}")
+    # Plans that were cached over the files moved away are no longer used.
+    spark.catalog.refreshByPath(target)

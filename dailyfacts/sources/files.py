@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dailyfacts.schemas import (
     CASE_DOCUMENT_SCHEMA,
@@ -48,24 +48,52 @@ def file_paths(spark: SparkSession, path) -> list[str]:
     return [row["path"] for row in listed.select("path").collect()]
 
 
+def first_lines(spark: SparkSession, paths: list[str]) -> list[str | None]:
+    """The first line that is not blank of each file, or None; nothing behind it is parsed.
+
+    A file takes some calls of its file system and no job, as there may be thousands of them.
+    """
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings)
+
+    def first(path: str) -> str | None:
+        file = jvm.org.apache.hadoop.fs.Path(path)
+        stream, codec = file.getFileSystem(settings).open(file), codecs.getCodec(file)
+        text = codec.createInputStream(stream) if codec else stream
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8"))
+        try:
+            while (line := lines.readLine()) is not None and not line.strip():
+                pass
+            return line
+        finally:
+            lines.close()
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return list(pool.map(first, paths))
+
+
 def check_surplus_columns(spark: SparkSession, path) -> None:
     """Fail when a file has more columns than the schema, but for one without a name at the end.
 
     The scan compares only the names of the columns that it reads, so values of further ones
-    would go unseen. The first line of each file is read for this, several files at a time.
+    would go unseen. The first line of each file is read for this, several files at a time;
+    files with the same one have the same columns, so that one of these is parsed.
     """
-    known = len(FLIGHT_FILE_COLUMNS)
-
-    def surplus(file: str) -> list[str]:
+    known, paths = len(FLIGHT_FILE_COLUMNS), file_paths(spark, path)
+    for file in dict(zip(first_lines(spark, paths), paths)).values():
         more = spark.read.csv(file, header=True).columns[known:]
         # The reader names a nameless column after its place.
-        return [] if len(more) == 1 and re.fullmatch(r"_c\d+", more[0]) else more
+        if more and not (len(more) == 1 and re.fullmatch(r"_c\d+", more[0])):
+            raise SurplusColumn(f"{file} has columns that are not known: {', '.join(more)}")
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        found = [(file, pool.submit(inheritable_thread_target(spark)(surplus), file)) for file in file_paths(spark, path)]
-        for file, columns in found:
-            if columns.result():
-                raise SurplusColumn(f"{file} has columns that are not known: {', '.join(columns.result())}")
+
+def read_flight_days(spark: SparkSession, path) -> DataFrame:
+    """``FL_DATE`` of the lines of flight files, headers too; no other field is parsed.
+
+    For counts that plan a read: the text before the first comma is taken for the date, null where it is none.
+    """
+    field = F.btrim(F.substring_index("value", ",", 1), F.lit('" '))
+    return spark.read.text(path).select(field.try_cast("date").alias("FL_DATE"))
 
 
 def read_flight_files(

@@ -1,12 +1,14 @@
 """Months that changed, rejected fields, keyed lookups, stored buckets, sizes."""
 
 import datetime as dt
+import gzip
 import os
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from helpers import HEADER, conf, flight_line, write_flights
+from pyspark.sql import DataFrameReader, DataFrameWriter
 
 from dailyfacts.operators.digests import changed_months
 from dailyfacts.operators.joins import RepeatedCode, as_keys, with_description
@@ -17,7 +19,7 @@ from dailyfacts.plans.describe import describe_flights
 from dailyfacts.schemas import FLIGHTS
 from dailyfacts.session import scratch_path, sized_for
 from dailyfacts.sources import read_flight_files, read_model
-from dailyfacts.sources.files import SurplusColumn, file_paths
+from dailyfacts.sources.files import SurplusColumn, check_surplus_columns, file_paths, read_flight_days
 
 D1, D2 = dt.date(2020, 1, 1), dt.date(2020, 1, 2)
 
@@ -53,6 +55,39 @@ def test_only_changed_months_are_written(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == sorted(second + [first[4]], key=repr)
 
 
+def test_changed_months_without_a_shuffle_are_written_once_and_moved(spark, tmp_path, monkeypatch):
+    placed, shuffled, written = str(tmp_path / "m"), str(tmp_path / "s"), []
+    parquet = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: written.append(path) or parquet(self, path, *a, **k))
+    first = [("a", 1.0, 2020, 1), ("a", 1.0, 2020, 1), ("b", None, 2020, 2), (None, 2.0, None, None), ("c", 3.0, 2020, 3)]
+    second = [first[0], ("b", 0.0, 2020, 2), ("n", 2.0, None, None), ("d", 4.0, 2020, 4), ("e", 5.0, None, 4)]
+    for values, changed in ((first, 4), (first[::-1], 0), (second, 5), (second, 0), ([], 0)):
+        before = files_of(placed)
+        written.clear()
+        assert write_by_month(month_rows(spark, values), placed, replace="changed", cluster_by=()) == changed
+        # The rows go to disk once, and digests beside them; nothing is written to the dataset itself.
+        assert len([p for p in written if "digests" not in p]) == 1 and placed not in written
+        assert write_by_month(month_rows(spark, values), shuffled, replace="changed") == changed
+        assert rows(spark.read.parquet(placed)) == rows(spark.read.parquet(shuffled))
+        after = files_of(placed)
+        kept = {f for f in before if after.get(f) == before[f]}
+        assert kept == (set(before) if not changed else {f for f in before if changed == 5 and "_month=3" in f})
+        assert {p.name for p in tmp_path.iterdir()} == {"m", "s"} and (tmp_path / "m/_SUCCESS").exists()
+    none = str(tmp_path / "none")
+    assert write_by_month(month_rows(spark, []), none, replace="changed", cluster_by=()) == 0
+    assert not Path(none).exists()
+
+
+def test_moved_months_are_seen_by_cached_reads(spark, tmp_path):
+    path = str(tmp_path / "m")
+    write_by_month(month_rows(spark, [("a", 1.0, 2020, 1)]), path, replace="changed", cluster_by=())
+    seen = spark.read.parquet(path).cache()
+    assert rows(seen) == [("a", 1.0, 2020, 1)]
+    write_by_month(month_rows(spark, [("b", 1.0, 2020, 1)]), path, replace="changed", cluster_by=())
+    assert rows(spark.read.parquet(path)) == [("b", 1.0, 2020, 1)]
+    seen.unpersist()
+
+
 def test_digests_do_not_hold_for_other_files(spark, tmp_path):
     path = str(tmp_path / "m")
     first, other = [("a", 1.0, 2020, 1), ("b", 2.0, 2020, 2)], [("z", 9.0, 2020, 2)]
@@ -111,6 +146,34 @@ def test_further_columns_fail_in_any_file(spark, tmp_path, more):
     assert len(file_paths(spark, path)) == 2
 
 
+def test_headers_are_checked_without_a_job_for_each_file(spark, tmp_path, monkeypatch):
+    parsed, csv = [], DataFrameReader.csv
+    monkeypatch.setattr(DataFrameReader, "csv", lambda self, path, *a, **k: parsed.append(path) or csv(self, path, *a, **k))
+    for i in range(6):
+        write_flights(tmp_path, [flight_line()], f"flights_2020_{i}.csv")
+    packed = tmp_path / "flights/flights_0_0.csv"
+    packed.mkdir()
+    (packed / "part-0.csv.gz").write_bytes(gzip.compress((" \n" + ",".join(HEADER) + ",\n" + flight_line() + ",\n").encode()))
+    path = f"{tmp_path}/{flights.INPUT}"
+    check_surplus_columns(spark, path)
+    # One file of each first line: the usual one, and the one with a column without a name.
+    assert len(parsed) == 2
+    (packed / "part-1.csv.gz").write_bytes(gzip.compress((",".join([*HEADER, "MORE"]) + "\n").encode()))
+    with pytest.raises(SurplusColumn, match="part-1.csv.gz has columns that are not known: MORE"):
+        check_surplus_columns(spark, path)
+
+
+def test_days_are_cut_from_the_lines(spark, tmp_path):
+    dates = ["2020-03-01", '"2020-03-02"', " 2020-04-01", "2020-13-45", "", "2020-5-6"]
+    path = write_flights(tmp_path, [flight_line().replace("2020-03-01", d, 1) for d in dates])
+    cut = [r[0] for r in read_flight_days(spark, path).collect()]
+    assert cut == [None, *[r[0] for r in read_flight_files(spark, path).select("FL_DATE").collect()]]
+    plan = read_flight_days(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" in plan or "FileScan text" in plan
+    found = {tuple(r) for r in flights.months_of(read_flight_days(spark, path)).collect()}
+    assert found == {(2020 * 12 + 3, 2), (2020 * 12 + 4, 1), (2020 * 12 + 5, 1), (None, 3)}
+
+
 def lookup(spark, *codes):
     return spark.createDataFrame([(c, f"is {c}") for c in codes], "code string, description string")
 

@@ -1,11 +1,14 @@
 """Registered queries on tables that sf0.1 is not like: copies of rows, few rows, none."""
 
+import datetime as dt
+import gzip
 import json
 from pathlib import Path
 
 import compare
 import pytest
 from helpers import executed_plan
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from dailyfacts.catalogue import raw
@@ -73,6 +76,32 @@ def test_flight_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     assert twice.where("count % 2 = 1").isEmpty()
 
 
+def test_lines_made_once_are_those_of_the_writer(spark, tmp_path):
+    flags = ["R", "", " x ", 'q"u', "a,b", "back\\", "#", "é", None]
+    lineitem = spark.createDataFrame(
+        [(k, k, None if k == 3 else 7, k % 7 + 1, float(k * 9), 0.01 * k, flag, "O", dt.datetime(1996, 3, 1 + k) if k else None)
+         for k, flag in enumerate(flags)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).coalesce(1)
+    change = {"tail_num": lambda tail: F.concat(F.lit(" "), tail)}
+    for name, changes in (("a", None), ("b", change)):
+        path = raw.write_flight_files(lineitem, str(tmp_path / name), changes)
+        raw.flight_rows(lineitem, changes).write.csv(str(tmp_path / f"{name}-plain"), header=True)
+        lines, plain = (
+            [line for file in sorted(Path(p).glob("part-*")) for line in opened(file, "rt", encoding="utf-8").read().split("\n")[:-1]]
+            for p, opened in ((path, gzip.open), (tmp_path / f"{name}-plain", open))
+        )
+        assert lines[0] == plain[0] and lines[1::2] == lines[2::2] == plain[1:] and len(plain) == 10
+    # Half as many lines are made as are written.
+    made = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(raw, "_write_flight_rows", lambda rows, path, **options: made.append(rows))
+        raw.write_flight_files(lineitem, "")
+    plan = made[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("to_csv")
+
+
 def test_jobs_are_sized_by_the_text_in_compressed_files(spark, tmp_path):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
     spark.range(20_000).selectExpr("cast(id as string)").coalesce(1).write.text(str(tmp_path / "t"), compression="gzip")
