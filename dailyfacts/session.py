@@ -115,10 +115,15 @@ def sized_for(spark: SparkSession, paths: str | Sequence[str], **limits: int) ->
                 spark.conf.unset(key)
 
 
+def hadoop_settings(spark: SparkSession):
+    """The settings of file systems, with those of the session, as its reads and writes take them."""
+    return spark._jsparkSession.sessionState().newHadoopConf()
+
+
 def _file_system(spark: SparkSession, path: str):
     """The Hadoop path of a name, and its file system."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return folder, folder.getFileSystem(hadoop_settings(spark))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -16,6 +16,7 @@ from dailyfacts.schemas import (
     TableSpec,
     ddl,
 )
+from dailyfacts.session import hadoop_settings
 
 # Placeholder for the empty column that a trailing comma in the file makes.
 _TRAILING = "_trailing"
@@ -53,7 +54,7 @@ def first_lines(spark: SparkSession, paths: list[str]) -> list[str | None]:
 
     A file takes some calls of its file system and no job, as there may be thousands of them.
     """
-    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    jvm, settings = spark._jvm, hadoop_settings(spark)
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings)
 
     def first(path: str) -> str | None:
@@ -79,8 +80,10 @@ def check_surplus_columns(spark: SparkSession, path) -> None:
     would go unseen. The first line of each file is read for this, several files at a time;
     files with the same one have the same columns, so that one of these is parsed.
     """
-    known, paths = len(FLIGHT_FILE_COLUMNS), file_paths(spark, path)
-    for file in dict(zip(first_lines(spark, paths), paths)).values():
+    known, paths, kinds = len(FLIGHT_FILE_COLUMNS), file_paths(spark, path), {}
+    for line, file in zip(first_lines(spark, paths), paths):
+        kinds.setdefault(line, file)
+    for file in kinds.values():
         more = spark.read.csv(file, header=True).columns[known:]
         # The reader names a nameless column after its place.
         if more and not (len(more) == 1 and re.fullmatch(r"_c\d+", more[0])):
